@@ -195,8 +195,7 @@ def coded(spark, sf_dir) -> DataFrame:
 
 
 def code_points() -> Column:
-    chars = F.filter(F.split("text", ""), lambda c: c != "")
-    return F.transform(chars, lambda c: F.ascii(c))
+    return F.transform(F.split("text", ""), lambda c: F.ascii(c))
 
 
 def stream_chunks(spark, sf_dir) -> DataFrame:

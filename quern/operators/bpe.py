@@ -23,11 +23,12 @@ from pyspark.sql import functions as F
 
 from quern.operators.pieces import (BYTE_SYMBOLS, END_OF_TEXT, from_symbols, gram_counts, piece_counts,
                                     split_pieces, to_symbols)
-from quern.plans.stage import complete, cut
+from quern.plans.stage import RollingTable, complete
 
 MAX_VOCAB = 65_536
 TOP_GRAMS = 1_024  # most frequent runs looked at per round
 CUT_EVERY = 48     # merges applied on the fly before the piece table is rewritten
+PLAN_STEP = 16
 CACHE_PIECES = 500_000
 
 
@@ -94,8 +95,11 @@ def _char_of(token_id: int, n_specials: int) -> str:
 
 
 def _merge_all(words: DataFrame, merges: list[tuple[str, str]]) -> DataFrame:
+    # Filled up to a round number of replacements (of characters no piece holds):
+    # plans of equal shape share their generated code from round to round.
+    filled = merges + [("\0\0", "\0")] * (-len(merges) % PLAN_STEP)
     col = F.col("symbols")
-    for pair, merged in merges:
+    for pair, merged in filled:
         col = F.replace(col, F.lit(pair), F.lit(merged))
     return words.select(col.alias("symbols"), "n")
 
@@ -155,11 +159,12 @@ def train(counts: DataFrame, vocab_size: int, specials: tuple[str, ...] = (END_O
     # A round is bound by computing, not by bytes: spread the table over every
     # core instead of letting it shrink to a few partitions of default size.
     spread = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    words = cut(counts.select(to_symbols(F.col("piece")).alias("symbols"), "n")
-                .where(F.char_length("symbols") > 1).repartition(spread))
+    stage = RollingTable(spark, "pieces")
+    words = stage.put(counts.select(to_symbols(F.col("piece")).alias("symbols"), "n")
+                      .where(F.char_length("symbols") > 1).repartition(spread))
     pending: list[tuple[str, str]] = []
     while len(tokens) < vocab_size:
-        rows = (gram_counts(_merge_all(words, pending), widths=(2, 3))
+        rows = (gram_counts(_merge_all(words, pending), triples=True)
                 .orderBy(F.desc("n"), "gram").limit(TOP_GRAMS).collect())
         top = [(r["gram"], r["n"]) for r in rows]
         batch = _safe_batch(top, len(top) < TOP_GRAMS) if top else []
@@ -187,8 +192,9 @@ def train(counts: DataFrame, vocab_size: int, specials: tuple[str, ...] = (END_O
             if alone or len(tokens) == vocab_size:
                 break
         if len(pending) >= CUT_EVERY:
-            words = cut(_merge_all(words, pending).where(F.char_length("symbols") > 1))
+            words = stage.put(_merge_all(words, pending).where(F.char_length("symbols") > 1))
             pending = []
+    stage.drop()
     return Vocabulary(tuple(tokens), tuple(merges), tuple(specials))
 
 

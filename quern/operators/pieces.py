@@ -13,6 +13,8 @@ PIECE_PATTERN = (
 )
 END_OF_TEXT = "<|endoftext|>"
 
+STRETCH = 512  # symbols of a piece handled at a time
+
 # The byte alphabet: printable Latin-1 bytes stand for themselves, the others
 # take the code points from 256 on, in byte order.
 _PRINTABLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
@@ -62,23 +64,25 @@ def from_symbols(symbols: Column) -> Column:
     return F.make_valid_utf8(F.encode(chars, "ISO-8859-1").cast("string"))
 
 
-def _chars(symbols: Column) -> Column:
-    return F.filter(F.split(symbols, ""), lambda c: c != "")
-
-
-def _runs(chars: Column, width: int) -> Column:
-    """All runs of ``width`` neighbouring characters."""
-    return F.transform(
-        F.slice(chars, 1, F.greatest(F.size(chars) - (width - 1), F.lit(0))),
-        lambda c, i: F.concat(c, *[F.get(chars, i + k) for k in range(1, width)]))
-
-
-def gram_counts(words: DataFrame, symbols: str = "symbols", n: str = "n", widths: tuple[int, ...] = (2,)) -> DataFrame:
-    """Weighted counts of runs of neighbouring symbols, as (gram, n)."""
-    chars = words.select(_chars(F.col(symbols)).alias("_chars"), F.col(n).alias("_n"))
-    grams = F.concat(*[_runs(F.col("_chars"), w) for w in widths]) if len(widths) > 1 else _runs(F.col("_chars"), widths[0])
-    return (chars.select(F.explode(grams).alias("gram"), "_n")
-            .groupBy("gram").agg(F.sum("_n").alias(n)))
+def gram_counts(words: DataFrame, symbols: str = "symbols", n: str = "n", triples: bool = False) -> DataFrame:
+    """Weighted counts of neighbouring symbols, as (gram, n): pairs, and triples if asked.
+
+    One row per position, cut out by ``substring``, stays in generated code.
+    Finding a position takes a walk from the start of the string, so a long
+    piece is first cut into stretches that overlap by two symbols.
+    """
+    parts = words.selectExpr(
+        f"`{symbols}` AS s", f"`{n}` AS n",
+        f"explode(CASE WHEN char_length(`{symbols}`) > 1 "
+        f"THEN sequence(1, char_length(`{symbols}`) - 1, {STRETCH}) ELSE array() END) AS at",
+    ).selectExpr(f"substring(s, at, {STRETCH + 2}) AS part", "n",
+                 f"explode(sequence(1, least({STRETCH}, char_length(s) - at))) AS i")
+    if triples:
+        grams = parts.selectExpr("substring(part, i, 3) AS run", "n").selectExpr(
+            "explode(CASE WHEN char_length(run) = 3 THEN array(left(run, 2), run) ELSE array(run) END) AS gram", "n")
+    else:
+        grams = parts.selectExpr("substring(part, i, 2) AS gram", "n")
+    return grams.groupBy("gram").agg(F.sum("n").alias(n))
 
 
 def pair_counts(words: DataFrame, piece: str = "piece", n: str = "n") -> DataFrame:

@@ -42,6 +42,30 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hadoop_path)
 
 
+class RollingTable:
+    """A table rewritten many times by a loop: each version replaces the last.
+
+    The old version is deleted only once the new one is committed, so a lost
+    executor finds its input, and a long loop leaves one version on disk.
+    """
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.name, self.path = spark, name, None
+
+    def put(self, df: DataFrame) -> DataFrame:
+        path = fresh_path(self.spark, self.name)
+        df.write.parquet(path)
+        self.drop()
+        self.path = path
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self) -> None:
+        if self.path is not None:
+            target = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+            target.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(target, True)
+            self.path = None
+
+
 def complete(spark: SparkSession, path: str) -> bool:
     """True once a write to ``path`` was committed, not merely started."""
     return exists(spark, f"{path}/_SUCCESS")
