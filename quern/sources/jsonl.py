@@ -10,36 +10,46 @@ from quern.functions.text import strip
 from quern.plans.prefix import dense_rank_from_zero
 from quern.plans.stage import cut
 
-_CORRUPT = "_corrupt"
+_OPTIONS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "broken", "allowSingleQuotes": "false"}
 
 
-def _parsed(line: Column, schema: T.StructType) -> Column:
-    return F.from_json(line, T.StructType([*schema.fields, T.StructField(_CORRUPT, T.StringType())]),
-                       {"columnNameOfCorruptRecord": _CORRUPT, "mode": "PERMISSIVE"})
+def _wrapped(line: Column, kind: T.DataType) -> Column:
+    """The line's value as ``value``, read inside an object of its own.
+
+    The JSON reader stops after the first whole value, so a line with something
+    after it would pass. Wrapped, that something breaks the object, unless it is
+    a closing brace or another member; ``_is_one`` refuses those.
+    """
+    return F.from_json(F.concat(F.lit('{"value":'), line, F.lit("}")),
+                       T.StructType([T.StructField("value", kind), T.StructField("broken", T.StringType())]), _OPTIONS)
+
+
+def _is_one(line: Column) -> Column:
+    """True if the line inside brackets is an array of one value."""
+    return F.json_array_length(F.concat(F.lit("["), line, F.lit("]"))) == 1
 
 
 def parse_jsonl(lines: DataFrame, schema: T.StructType | str, line: str = "value") -> DataFrame:
     """One row per line that is a JSON object; blank, broken and non-object lines are dropped.
 
-    Other columns of ``lines`` are kept.
+    A field of another type than declared is converted or null. Other columns
+    of ``lines`` are kept.
     """
     schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
     kept = [c for c in lines.columns if c != line]
-    trimmed = lines.withColumn(line, strip(F.col(line))).where(F.startswith(line, F.lit("{")))
-    row = trimmed.withColumn("_row", _parsed(F.col(line), schema))
-    return (row.where(F.col(f"_row.{_CORRUPT}").isNull())
-            .select(*kept, *[F.col("_row").getField(f.name).alias(f.name) for f in schema.fields]))
+    objects = (lines.withColumn(line, strip(F.col(line)))
+               .where(F.startswith(line, F.lit("{")) & _is_one(F.col(line)))
+               .withColumn("_row", _wrapped(F.col(line), schema)["value"]))
+    return objects.where(F.col("_row").isNotNull()).select(
+        *kept, *[F.col("_row").getField(f.name).alias(f.name) for f in schema.fields])
 
 
-def line_report(lines: DataFrame, schema: T.StructType | str, line: str = "value") -> DataFrame:
+def line_report(lines: DataFrame, line: str = "value") -> DataFrame:
     """How many lines are blank, broken, valid but no object, or objects."""
-    schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
     text = strip(F.col(line))
-    value = F.try_parse_json(text)
-    kind = (F.when(text == "", "blank")
-            .when(value.isNull(), "broken")
-            .when(F.startswith(text, F.lit("{")), "object")
-            .otherwise("not_object"))
+    whole = _is_one(text) & _wrapped(text, T.StringType())["broken"].isNull()
+    kind = (F.when(text == "", "blank").when(F.coalesce(~whole, F.lit(True)), "broken")
+            .when(F.startswith(text, F.lit("{")), "object").otherwise("not_object"))
     return lines.groupBy(kind.alias("kind")).agg(F.count("*").alias("n_lines"))
 
 
