@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from quern.functions.text import STRIP_CHARS
 from quern.operators import bpe, candidates, distill, mix, pieces, retention, templates, tokens
 from quern.plans.prefix import dense_rank_from_zero
-from quern.plans.stage import cut, fresh_path, shared_dir
+from quern.plans.stage import cut, fresh_path, shared_dir, spread
 from quern.sources import corpus, jsonl, sinks
 from quern.streaming import corpus_stream
 
@@ -43,7 +43,7 @@ def query(name: str, sql: str | None = None):
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def md5(col: Column | str) -> Column:
@@ -190,8 +190,12 @@ def by_language(spark, sf_dir) -> DataFrame:
 
 def coded(spark, sf_dir) -> DataFrame:
     """Documents indexed and split; stand-in tokens are code points, 0 ends a document."""
-    docs = tokens.split(tokens.with_doc_index(table(spark, sf_dir, "documents"), ["doc_id"]))
-    return docs.withColumn("n_tokens", (F.char_length("text") + 1).cast("bigint"))
+    docs = sized(spark, sf_dir).where("text <> ''").select("doc_id", "n_tokens")
+    return tokens.split(dense_rank_from_zero(docs, "doc_index", ["doc_id"]))
+
+
+def sized(spark, sf_dir) -> DataFrame:
+    return table(spark, sf_dir, "documents").withColumn("n_tokens", (F.char_length("text") + 1).cast("bigint"))
 
 
 def code_points() -> Column:
@@ -199,13 +203,15 @@ def code_points() -> Column:
 
 
 def stream_chunks(spark, sf_dir) -> DataFrame:
-    docs = bpe.with_eot(tokens.offsets(coded(spark, sf_dir)).withColumn("ids", code_points()), 0)
-    return tokens.chunk(docs, CHUNK)
+    docs = sized(spark, sf_dir).where("text <> ''")
+    placed = tokens.lay_out(docs, "doc_id", ["doc_id"])
+    ids = bpe.with_eot(docs.select("doc_id", code_points().alias("ids")), 0)
+    return tokens.chunk(ids.join(placed, "doc_id"), CHUNK)
 
 
 def scores(spark, sf_dir, value: Column | None = None) -> DataFrame:
     value = F.max("l_extendedprice") / 10000.0 - 3.0 if value is None else value
-    return (table(spark, sf_dir, "lineitem")
+    return cut(table(spark, sf_dir, "lineitem")
             .groupBy(F.col("l_suppkey").alias("group"), F.col("l_partkey").alias("item")).agg(value.alias("score")))
 
 
@@ -378,7 +384,7 @@ def reply_trim(spark, sf_dir):
 
 @query("weighted_interleave", sql_mix(WEIGHTS) + " SELECT doc_index, lang AS source_id, doc_id AS ord FROM placed")
 def weighted_interleave(spark, sf_dir):
-    return mix.interleave(by_language(spark, sf_dir), WEIGHTS, SEED).select("doc_index", "source_id", "ord")
+    return mix.blend_order(by_language(spark, sf_dir), WEIGHTS, SEED).select("doc_index", "source_id", "ord")
 
 
 @query("loop_source", f"""
@@ -392,7 +398,7 @@ def weighted_interleave(spark, sf_dir):
       FROM drawn WHERE arrival <= (SELECT max(arrival) FROM drawn WHERE lang <> 'es')""")
 def loop_source(spark, sf_dir):
     """One source starts over until every other one is used up."""
-    return mix.interleave(by_language(spark, sf_dir), LOOP_WEIGHTS, SEED, looped=("es",), stop="finite_exhausted").select(
+    return mix.blend_order(by_language(spark, sf_dir), LOOP_WEIGHTS, SEED, looped=("es",), stop="finite_exhausted").select(
         "doc_index", "source_id", "epoch", "ord")
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from quern.functions.draw import unit
 from quern.plans.prefix import dense_rank_from_zero, prefix_sum
-from quern.plans.skew import spread_join
+from quern.plans.skew import hot_keys, spread_join
 
 ONE = 2**62         # probability 1 as BIGINT, so that running totals are exact sums
 GROUP_LIMIT = 1_000  # up to this k the optimiser limits groups before the shuffle
@@ -31,20 +31,21 @@ def penalise(df: DataFrame, seen: DataFrame, penalty: float, group: str = "group
 
 
 def softmax(df: DataFrame, temperature: float = 1.0, group: str = "group", item: str = "item",
-            score: str = "score", **skew) -> DataFrame:
+            score: str = "score", min_hot_rows: int | None = None) -> DataFrame:
     """Add ``prob``: scores over the temperature as probabilities per group."""
     if temperature <= 0:
         raise ValueError("temperature must be above zero; use argmax for greedy choice")
+    hot = hot_keys(df, [group], min_hot_rows)
     scaled = df.withColumn("_x", F.col(score) / F.lit(float(temperature)))
     tops = scaled.groupBy(group).agg(F.max("_x").alias("_top"))
-    raised = spread_join(scaled, tops, [group], [item], **skew).withColumn("_e", F.exp(F.col("_x") - F.col("_top")))
+    raised = spread_join(scaled, tops, [group], [item], hot=hot).withColumn("_e", F.exp(F.col("_x") - F.col("_top")))
     totals = raised.groupBy(group).agg(F.sum("_e").alias("_z"))
-    return (spread_join(raised, totals, [group], [item], **skew)
+    return (spread_join(raised, totals, [group], [item], hot=hot)
             .withColumn("prob", F.col("_e") / F.col("_z")).drop("_x", "_top", "_e", "_z"))
 
 
 def top_k(df: DataFrame, k: int, group: str = "group", item: str = "item", score: str = "score",
-          skew: dict | None = None, **ranges) -> DataFrame:
+          min_hot_rows: int | None = None, **ranges) -> DataFrame:
     """Keep scores not below the k-th of their group; ties with the k-th stay.
 
     Only the k best per group and task are shuffled to find the k-th score. The
@@ -58,12 +59,12 @@ def top_k(df: DataFrame, k: int, group: str = "group", item: str = "item", score
         ordered = slim.withColumn("_down", -F.col(score))
         ranked = dense_rank_from_zero(ordered, "_at", ["_down", item], [group], **ranges).where(F.col("_at") < k)
     floors = ranked.groupBy(group).agg(F.min(score).alias("_floor"))
-    return (spread_join(df, floors, [group], [item], **(skew or {}))
+    return (spread_join(df, floors, [group], [item], hot=hot_keys(df, [group], min_hot_rows))
             .where(F.col(score) >= F.col("_floor")).drop("_floor"))
 
 
 def nucleus(df: DataFrame, p: float, group: str = "group", item: str = "item", score: str = "score",
-            skew: dict | None = None, **ranges) -> DataFrame:
+            min_hot_rows: int | None = None, **ranges) -> DataFrame:
     """Keep a row while the probability ranked before it is at most ``p``.
 
     The first row always stays; p outside (0, 1) turns the filter off. Equal
@@ -71,7 +72,7 @@ def nucleus(df: DataFrame, p: float, group: str = "group", item: str = "item", s
     """
     if not 0.0 < p < 1.0:
         return df
-    ordered = softmax(df, 1.0, group, item, score, **(skew or {})).withColumn("_down", -F.col(score))
+    ordered = softmax(df, 1.0, group, item, score, min_hot_rows).withColumn("_down", -F.col(score))
     mass = F.floor(F.col("prob") * F.lit(float(ONE))).cast("bigint")
     before = prefix_sum(ordered, {"_before": mass}, ["_down", item], [group],
                         points_from=df.withColumn("_down", -F.col(score)), **ranges)

@@ -52,16 +52,10 @@ def loop(df: DataFrame, epochs: int) -> DataFrame:
     return df.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(epochs - 1))))
 
 
-def interleave(df: DataFrame, weights: dict[str, float], seed: int = 42, *, source: str = "source_id",
-               order: str = "ord", text: str = "text", looped: tuple[str, ...] = (),
-               stop: str = "budget", budget: int | None = None, **ranges) -> DataFrame:
-    """Blend ``df`` (source, ord, text) by weight; adds ``epoch`` and ``doc_index``.
-
-    Empty texts take part in the draw and are dropped after it. ``looped``
-    sources start over until ``stop``: after ``budget`` documents, or once every
-    other source is used up (``finite_exhausted``). Only (source, ord) and the
-    draw go through the ordering; the text is joined back once by its key.
-    """
+def blend_order(df: DataFrame, weights: dict[str, float], seed: int = 42, *, source: str = "source_id",
+                order: str = "ord", text: str = "text", looped: tuple[str, ...] = (),
+                stop: str = "budget", budget: int | None = None, **ranges) -> DataFrame:
+    """The blend as (source, ord, epoch, doc_index), without the texts."""
     filled = F.coalesce(F.col(text), F.lit("")) != ""
     slim = df.select(source, order, filled.alias("_filled"))
     if looped:
@@ -71,7 +65,20 @@ def interleave(df: DataFrame, weights: dict[str, float], seed: int = 42, *, sour
     drawn = cut(drawn.where("_filled").drop("_filled"))
     placed = dense_rank_from_zero(drawn, "doc_index", ["arrival", source, "epoch", order],
                                   ceilings=None if budget is None else {"doc_index": F.lit(budget)}, **ranges)
-    return df.join(placed.drop("arrival"), [source, order])
+    return placed.drop("arrival")
+
+
+def interleave(df: DataFrame, weights: dict[str, float], seed: int = 42, *, source: str = "source_id",
+               order: str = "ord", **options) -> DataFrame:
+    """Blend ``df`` (source, ord, text) by weight; adds ``epoch`` and ``doc_index``.
+
+    Empty texts take part in the draw and are dropped after it. ``looped``
+    sources start over until ``stop``: after ``budget`` documents, or once every
+    other source is used up (``finite_exhausted``). Only (source, ord) and the
+    draw go through the ordering; the text is joined back once by its key.
+    """
+    placed = blend_order(df, weights, seed, source=source, order=order, **options)
+    return df.join(placed, [source, order])
 
 
 def _looped_arrivals(slim, weights, seed, source, order, looped, stop, budget, ranges) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quern.functions.text import field_or_empty, first_filled, strip
-from quern.plans.skew import spread_join
+from quern.plans.skew import hot_keys, spread_join
 
 # Section marks and role names of the text format.
 INSTRUCTION_MARK = "### Instruction:\n"
@@ -66,7 +66,7 @@ def sharegpt(df: DataFrame, conversation: str = "conversations") -> DataFrame:
 
 
 def sharegpt_rows(turns: DataFrame, conversation: str = "conv_id", turn: str = "turn",
-                  role: str = "role", text: str = "text", **skew) -> DataFrame:
+                  role: str = "role", text: str = "text", min_hot_rows: int | None = None) -> DataFrame:
     """``sharegpt`` over one row per turn; gives (conversation, text).
 
     Both steps are minimum aggregates, combined before the shuffle, so a
@@ -79,7 +79,8 @@ def sharegpt_rows(turns: DataFrame, conversation: str = "conv_id", turn: str = "
              .select(conversation, F.col("_ask.at").alias("_asked_at"), F.col("_ask.said").alias("_ask")))
     assistant = (turns.where(F.col(role).isin(*ASSISTANT_ROLES))
                  .select(conversation, F.col(turn).alias("_at"), said.alias("_said")))
-    joined = spread_join(assistant, human, [conversation], ["_at"], **skew)
+    hot = hot_keys(assistant, [conversation], min_hot_rows)
+    joined = spread_join(assistant, human, [conversation], ["_at"], hot=hot)
     pairs = (joined.where(F.col("_at") > F.col("_asked_at"))
              .groupBy(conversation)
              .agg(F.min(F.struct("_at", "_said")).alias("_reply"), F.min("_ask").alias("_ask")))

@@ -37,13 +37,31 @@ def cap(df: DataFrame, caps: dict[str, int | None], n_tokens: str = "n_tokens",
     Adds ``before``. A cap of None keeps everything; a split may pass its cap by
     its last document only.
     """
-    return prefix_sum(df, {"before": F.col(n_tokens)}, ["doc_index"], ["split"],
+    return prefix_sum(df, {"before": F.col(n_tokens)}, ["doc_index"], ["split"], dense=True,
                       ceilings={"before": _cap_of(caps)}, **ranges)
 
 
 def offsets(df: DataFrame, n_tokens: str = "n_tokens", **ranges) -> DataFrame:
     """Add ``start``: where each document begins in its split's flat stream."""
-    return prefix_sum(df, {"start": F.col(n_tokens)}, ["doc_index"], ["split"], **ranges)
+    return prefix_sum(df, {"start": F.col(n_tokens)}, ["doc_index"], ["split"], dense=True, **ranges)
+
+
+def lay_out(docs: DataFrame, key: str, order: list[str], n_tokens: str = "n_tokens", every: int = HOLD_OUT_EVERY,
+            caps: dict[str, int | None] | None = None, **ranges) -> DataFrame:
+    """(key, doc_index, split, start) of every document that is kept.
+
+    Only key, order and token count go through the orderings; join the result
+    to the tokens by ``key`` once, instead of carrying them through each step.
+    """
+    slim = docs.select(key, *[c for c in order if c != key], n_tokens)
+    placed = split(dense_rank_from_zero(slim, "doc_index", order, **ranges), every)
+    if caps:
+        # What is kept of a split is its beginning, so the total before a kept
+        # document is also its place in the stream.
+        placed = cap(placed, caps, n_tokens, **ranges).withColumnRenamed("before", "start")
+    else:
+        placed = offsets(placed, n_tokens, **ranges)
+    return placed.select(key, "doc_index", "split", "start")
 
 
 def check_u16(df: DataFrame, ids: str = "ids") -> DataFrame:
@@ -121,7 +139,7 @@ def progress(df: DataFrame, every: int = REPORT_EVERY, n_tokens: str = "n_tokens
     counted = F.col(n_tokens).cast("bigint")
     caps = {k: v for k, v in (caps or {}).items() if v is not None}
     if caps:
-        df = prefix_sum(df, {"_before": counted}, ["doc_index"], ["split"], **ranges)
+        df = prefix_sum(df, {"_before": counted}, ["doc_index"], ["split"], dense=True, **ranges)
         limit = _cap_of(caps)
         counted = F.when(limit.isNull() | (F.col("_before") < limit), counted).otherwise(F.lit(0))
     stretch = F.ceil(F.col("doc_index") / F.lit(every)).cast("bigint")
@@ -129,7 +147,7 @@ def progress(df: DataFrame, every: int = REPORT_EVERY, n_tokens: str = "n_tokens
             .agg(F.coalesce(F.sum(F.when(F.col("split") == "train", counted)), F.lit(0)).alias("_train"),
                  F.coalesce(F.sum(F.when(F.col("split") == "val", counted)), F.lit(0)).alias("_val"),
                  F.max("doc_index").alias("doc_index")))
-    run = prefix_sum(sums, {"train_tokens": F.col("_train"), "val_tokens": F.col("_val")}, ["line"], **ranges)
+    run = prefix_sum(sums, {"train_tokens": F.col("_train"), "val_tokens": F.col("_val")}, ["line"], dense=True, **ranges)
     lines = (run.where((F.col("line") > 0) & (F.col("doc_index") == F.col("line") * every))
              .select("doc_index", (F.col("train_tokens") + F.col("_train")).alias("train_tokens"),
                      (F.col("val_tokens") + F.col("_val")).alias("val_tokens")))

@@ -1,12 +1,13 @@
 """Running totals over an ordered table without a single-task window.
 
 ``Window.orderBy`` without partitions, or with a few large ones, sorts a whole
-corpus in one task. Here the order is cut into ranges by literal cut points:
+corpus in one task. Here the order is cut into ranges:
 
-1. a bounded sample gives the cut points (one count, one small collect);
+1. a bounded sample gives literal cut points (one count, one small collect);
+   where the order is a dense document number, plain division does;
 2. the values are summed per (keys, range), with map-side combining;
-3. rows are numbered inside (keys, range) only, and the total of the earlier
-   ranges is added.
+3. the total of the earlier ranges enters each (keys, range) as one extra first
+   row, so a single window, and a single shuffle of the rows, finishes the job.
 
 Cut points are taken over (keys, order) together, so a key with a third of all
 rows spans about a third of the ranges, and millions of small keys still give
@@ -19,6 +20,7 @@ from __future__ import annotations
 import json
 import math
 from datetime import date, datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -31,7 +33,8 @@ SMALL_ROWS = 100_000
 SAMPLE_SEED = 20_240_501
 
 _RANGE = "_range"
-_BASE = "_base_"
+_FIRST = "_first"
+_VALUE = "_value_"
 
 
 def cut_points(df: DataFrame, cols: list[str], rows_per_range: int | None = None,
@@ -68,7 +71,7 @@ def _literal_points(points: list[tuple], schema: T.StructType) -> Column:
 def range_of(df: DataFrame, cols: list[str], points: list[tuple]) -> Column:
     """Number of cut points not above the row's key, by binary search."""
     if not points:
-        return F.lit(0)
+        return F.lit(0).cast("bigint")
     fields = [T.StructField(f"c{i}", df.schema[c].dataType) for i, c in enumerate(cols)]
     array = _literal_points(points, T.StructType(fields))
     key = F.struct(*[F.col(c).alias(f"c{i}") for i, c in enumerate(cols)])
@@ -82,72 +85,69 @@ def range_of(df: DataFrame, cols: list[str], points: list[tuple]) -> Column:
     )
 
 
-def _as_small(bases: DataFrame) -> DataFrame:
-    """The range totals as a broadcast table, if they are few; else unchanged."""
+def _past_ceilings(bases: DataFrame, keys: list[str], ceilings: dict[str, Column]) -> tuple[DataFrame, DataFrame | None]:
+    """The range totals, and the (keys, range) pairs that lie past a ceiling.
+
+    Totals are collected if they are few (SMALL_ROWS at most); the pairs can
+    then be broadcast safely. Otherwise nothing is dropped ahead of time.
+    """
     rows = bases.limit(SMALL_ROWS + 1).collect()
     if len(rows) > SMALL_ROWS:
-        return bases
-    return F.broadcast(bases.sparkSession.createDataFrame(rows, bases.schema))
+        return bases, None
+    known = bases.sparkSession.createDataFrame(rows, bases.schema)
+    past = reduce(lambda a, b: a | b,
+                  [top.isNotNull() & (F.col(_VALUE + name) >= top) for name, top in ceilings.items()])
+    return known, known.where(past).select(
+        *[F.col(k).alias(f"_past_{k}") for k in keys], F.col(_RANGE).alias("_past_range"))
 
 
 def prefix_sum(df: DataFrame, values: dict[str, Column], order: list[str],
-               keys: list[str] | None = None, *, ceilings: dict[str, Column] | None = None,
+               keys: list[str] | None = None, *, dense: bool = False, ceilings: dict[str, Column] | None = None,
                rows_per_range: int | None = None, n_rows: int | None = None,
                points_from: DataFrame | None = None) -> DataFrame:
     """Add, per output name, the total of the value over earlier rows of the key.
 
     ``order`` must be unique and non-null inside a key and ascending. The total
-    excludes the row itself. ``ceilings`` maps an output name to an exclusive
-    upper bound: rows whose total reaches it are dropped, and whole ranges past
-    it are dropped before anything is shuffled. ``points_from`` is a cheaper
-    table holding the same key and order columns, used for the cut points.
+    excludes the row itself. With ``dense`` the order is one column of document
+    numbers, and ranges need no look at the data. ``ceilings`` maps an output
+    name to an exclusive upper bound that depends on the keys only: rows whose
+    total reaches it are dropped, whole ranges past it before anything is
+    shuffled. ``points_from`` is a cheaper table holding the same key and order
+    columns, used for the cut points.
     """
     keys = list(keys or [])
     ceilings = ceilings or {}
-    cols = keys + list(order)
-    points = cut_points(points_from if points_from is not None else df, cols,
-                        rows_per_range, n_rows)
-    value_names = {name: f"_value_{name}" for name in values}
-    tagged = df.withColumns({value_names[n]: c.cast("bigint") for n, c in values.items()})
-    if points:
-        tagged = tagged.withColumn(_RANGE, range_of(tagged, cols, points))
+    tagged = df.withColumns({_VALUE + n: c.cast("bigint") for n, c in values.items()})
+    if dense:
+        ranged = True
+        tagged = tagged.withColumn(_RANGE, F.expr(f"`{order[0]}` div {rows_per_range or ROWS_PER_RANGE}"))
+    else:
+        points = cut_points(points_from if points_from is not None else df, keys + list(order), rows_per_range, n_rows)
+        ranged = bool(points)
+        tagged = tagged.withColumn(_RANGE, range_of(df, keys + list(order), points))
+    tagged = tagged.withColumn(_FIRST, F.lit(False))
+    if ranged:
         earlier = (Window.partitionBy(*(keys or [F.lit(0)])).orderBy(_RANGE)
                    .rowsBetween(Window.unboundedPreceding, -1))
-        bases = (
-            tagged.groupBy(*keys, _RANGE)
-            .agg(*[F.sum(v).alias(v) for v in value_names.values()])
-            .select(*[F.col(k).alias(f"_key_{k}") for k in keys],
-                    F.col(_RANGE).alias("_base_range"),
-                    *[F.coalesce(F.sum(v).over(earlier), F.lit(0)).alias(_BASE + n)
-                      for n, v in value_names.items()])
-        )
+        bases = (tagged.groupBy(*keys, _RANGE)
+                 .agg(*[F.sum(_VALUE + n).alias(_VALUE + n) for n in values])
+                 .select(*keys, _RANGE, *[F.coalesce(F.sum(_VALUE + n).over(earlier), F.lit(0)).alias(_VALUE + n)
+                                          for n in values]))
         if ceilings:
-            bases = _as_small(bases)
-        on = F.col(_RANGE) == F.col("_base_range")
-        for k in keys:
-            on = on & (F.col(k) == F.col(f"_key_{k}"))
-        # Same keys as the window below: where this join shuffles, the window
-        # reuses it; where it broadcasts, rows past a ceiling go no further.
-        tagged = tagged.join(bases, on, "left")
-        for name, top in ceilings.items():
-            tagged = tagged.where(top.isNull() | (F.col(_BASE + name) < top))
-        # A null key matches no range total: fail rather than number it wrongly.
-        tagged = tagged.withColumns({
-            _BASE + n: F.coalesce(F.col(_BASE + n), F.raise_error(F.lit("null key in a running total")))
-            for n in values})
-        tagged = tagged.drop("_base_range", *[f"_key_{k}" for k in keys])
-        inside = Window.partitionBy(*keys, _RANGE)
-    else:
-        tagged = tagged.withColumns({_BASE + n: F.lit(0).cast("bigint") for n in values})
-        inside = Window.partitionBy(*(keys or [F.lit(0)]))
-    before = inside.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    out = tagged.withColumns({
-        n: F.col(_BASE + n) + F.coalesce(F.sum(v).over(before), F.lit(0).cast("bigint"))
-        for n, v in value_names.items()
-    })
+            bases, past = _past_ceilings(bases, keys, ceilings)
+            if past is not None:
+                on = F.col(_RANGE) == F.col("_past_range")
+                for k in keys:
+                    on = on & F.col(k).eqNullSafe(F.col(f"_past_{k}"))
+                tagged = tagged.join(F.broadcast(past), on, "left_anti")
+        tagged = tagged.unionByName(bases.withColumn(_FIRST, F.lit(True)), allowMissingColumns=True)
+    before = (Window.partitionBy(*keys, _RANGE).orderBy(F.desc(_FIRST), *order)
+              .rowsBetween(Window.unboundedPreceding, -1))
+    out = tagged.withColumns({n: F.coalesce(F.sum(_VALUE + n).over(before), F.lit(0).cast("bigint")) for n in values})
+    out = out.where(~F.col(_FIRST))
     for name, top in ceilings.items():
         out = out.where(top.isNull() | (F.col(name) < top))
-    return out.drop(*value_names.values(), *[_BASE + n for n in values], _RANGE)
+    return out.drop(*[_VALUE + n for n in values], _RANGE, _FIRST)
 
 
 def dense_rank_from_zero(df: DataFrame, name: str, order: list[str],

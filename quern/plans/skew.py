@@ -13,32 +13,37 @@ MIN_HOT_ROWS = 1_000_000
 
 def hot_keys(big: DataFrame, keys: list[str], min_rows: int | None = None) -> list[tuple]:
     """Keys holding at least 1/SHARE of the rows: never more than SHARE of them."""
-    counts = big.groupBy(*keys).count()
     floor = MIN_HOT_ROWS if min_rows is None else min_rows
     n = big.count()
     if n < floor:
         return []
     bound = max(floor, -(-n // SHARE))
-    return [tuple(r)[:-1] for r in counts.where(F.col("count") >= bound).collect()]
+    counts = big.groupBy(*keys).count().where(F.col("count") >= bound)
+    return [tuple(r)[:-1] for r in counts.collect()]
 
 
-def spread_join(big: DataFrame, small: DataFrame, keys: list[str], spread_on: list[str],
-                how: str = "inner", min_rows: int | None = None) -> DataFrame:
-    """Join ``small`` (unique on ``keys``) to ``big``, spreading hot keys.
+def _is_hot(keys: list[str], hot: list[tuple]):
+    if len(keys) == 1:
+        return F.coalesce(F.col(keys[0]).isin([k for k, in hot if k is not None]), F.lit(False))
+    return reduce(lambda a, b: a | b,
+                  [reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.lit(v)) for k, v in zip(keys, key)]) for key in hot])
+
+
+def spread_join(big: DataFrame, small: DataFrame, keys: list[str], spread_on: list[str], how: str = "inner",
+                hot: list[tuple] | None = None) -> DataFrame:
+    """Join ``small`` (unique on ``keys``) to ``big``, spreading the ``hot`` keys of ``big``.
 
     Rows of a hot key are salted by ``spread_on`` over as many slots as there
     are shuffle partitions; only the hot rows of ``small`` are repeated. Without
     hot keys this is a plain join that adaptive execution may turn into a
     broadcast once it has seen the real sizes.
     """
-    hot = hot_keys(big, keys, min_rows)
+    if hot is None:
+        hot = hot_keys(big, keys)
     if not hot:
         return big.join(small, keys, how)
-    spark = big.sparkSession
-    slots = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    is_hot = reduce(lambda a, b: a | b,
-                    [reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.lit(v)) for k, v in zip(keys, key)])
-                     for key in hot])
+    slots = int(big.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    is_hot = _is_hot(keys, hot)
     salted = big.withColumn(
         "_slot", F.when(is_hot, F.pmod(F.xxhash64(*spread_on), F.lit(slots)).cast("int")).otherwise(0))
     repeated = small.withColumn(

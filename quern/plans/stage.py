@@ -36,6 +36,18 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """Deal a scan with fewer partitions than cores out over all of them.
+
+    For the small files of a test: work per row that is heavy (patterns, coding)
+    would run in one task per file. A scan of many files is left alone, so
+    nothing is shuffled at scale. Only for plain scans, whose partitions are
+    known without running anything.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     fs = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())

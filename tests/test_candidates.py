@@ -5,7 +5,7 @@ import pytest
 
 from quern.operators import candidates as c
 
-SKEW = [{}, {"min_rows": 50}]
+SKEW = [{}, {"min_hot_rows": 50}]
 
 
 @pytest.fixture(scope="module")
@@ -60,7 +60,7 @@ def test_softmax_of_huge_scores(spark):
 @pytest.mark.parametrize("skew", SKEW)
 @pytest.mark.parametrize("k", [1, 3, 10, 1000, 1001])
 def test_top_k_keeps_ties(spark, rows, k, skew):
-    got = {(r.group, r.item) for r in c.top_k(frame(spark, rows), k, skew=skew, rows_per_range=30).collect()}
+    got = {(r.group, r.item) for r in c.top_k(frame(spark, rows), k, rows_per_range=30, **skew).collect()}
     want = set()
     for g, pairs in by_group(rows).items():
         floor = sorted((s for _, s in pairs), reverse=True)[min(k, len(pairs)) - 1]

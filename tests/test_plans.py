@@ -35,6 +35,18 @@ def test_prefix_sum_equals_a_loop(spark, rows, parts, per_range, keyed):
     assert set(got.columns) == {"k", "a", "i", "v", "before"}
 
 
+@pytest.mark.parametrize("per_range", [3, 10**6])
+@pytest.mark.parametrize("parts", [1, 9])
+def test_dense_order_equals_a_loop(spark, rows, parts, per_range):
+    df = spark.createDataFrame(rows, "k string, a int, i int, v int").repartition(parts)
+    got = prefix_sum(df, {"before": F.col("v")}, ["i"], ["k"], dense=True, rows_per_range=per_range)
+    run, want = {}, {}
+    for k, _, i, v in rows:
+        want[i] = run.get(k, 0)
+        run[k] = want[i] + v
+    assert {r.i: r.before for r in got.collect()} == want
+
+
 @pytest.mark.parametrize("per_range", [7, 10**6])
 def test_ceilings_drop_rows_past_them(spark, rows, per_range):
     df = spark.createDataFrame(rows, "k string, a int, i int, v int")
@@ -62,10 +74,15 @@ def test_order_columns_of_other_types(spark, order):
     assert all(r.i == r["at"] for r in got.collect())
 
 
-def test_a_null_key_is_an_error(spark):
-    df = spark.createDataFrame([("a", i) for i in range(50)] + [(None, 99)], "k string, i int")
-    with pytest.raises(Exception):
-        dense_rank_from_zero(df, "at", ["i"], ["k"], rows_per_range=10).collect()
+def test_null_keys_are_a_key_of_their_own(spark):
+    rows = [(None if i % 3 == 0 else "a", i) for i in range(90)]
+    df = spark.createDataFrame(rows, "k string, i int").repartition(3)
+    got = sorted((r.i, r["at"]) for r in dense_rank_from_zero(df, "at", ["i"], ["k"], dense=True, rows_per_range=10).collect())
+    want, seen = [], {}
+    for k, i in rows:
+        want.append((i, seen.get(k, 0)))
+        seen[k] = seen.get(k, 0) + 1
+    assert got == want
 
 
 def test_cut_points_are_bounded_and_spread_hot_keys(spark, rows):
@@ -88,7 +105,7 @@ def test_no_task_holds_a_whole_hot_key(spark, rows):
 def test_spread_join_equals_a_join(spark, rows, min_rows, how):
     big = spark.createDataFrame(rows, "k string, a int, i int, v int")
     small = big.where("k <> 'one'").groupBy("k").agg(F.max("v").alias("top"))
-    got = skew.spread_join(big, small, ["k"], ["i"], how, min_rows=min_rows)
+    got = skew.spread_join(big, small, ["k"], ["i"], how, hot=skew.hot_keys(big, ["k"], min_rows))
     assert sorted(map(str, got.select("k", "i", "top").collect())) == sorted(
         map(str, big.join(small, "k", how).select("k", "i", "top").collect()))
 

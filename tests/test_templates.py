@@ -56,14 +56,14 @@ def test_sharegpt_with_two_fields(spark):
 def test_sharegpt_rows(spark, min_rows):
     rows = [(k, i, r, v) for k, c in CONVERSATIONS.items() for i, (r, v) in enumerate(c)]
     df = spark.createDataFrame(rows, "conv_id string, turn int, role string, text string").repartition(5)
-    assert texts(t.sharegpt_rows(df, min_rows=min_rows), "conv_id") == WANT
+    assert texts(t.sharegpt_rows(df, min_hot_rows=min_rows), "conv_id") == WANT
 
 
 def test_one_long_conversation(spark):
     turns = spark.range(20_000).select(F.lit(1).alias("conv_id"), "id", F.concat(F.lit("t"), "id").alias("text"),
                                        F.when(F.col("id") < 9_000, "system").when(F.col("id") % 2 == 0, "user")
                                        .otherwise("assistant").alias("role")).withColumnRenamed("id", "turn")
-    assert texts(t.sharegpt_rows(turns, min_rows=100), "conv_id") == {1: SHORT.format("t9000", "t9001")}
+    assert texts(t.sharegpt_rows(turns, min_hot_rows=100), "conv_id") == {1: SHORT.format("t9000", "t9001")}
 
 
 def test_unknown_format(spark):

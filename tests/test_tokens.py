@@ -70,6 +70,22 @@ def test_chunks_are_the_flat_stream(spark, docs, size, parts, ranges):
         assert all(len(t) == size for _, t in mine[:-1]) and sum((t for _, t in mine), []) == flat
 
 
+@pytest.mark.parametrize("caps", [None, {"train": 900, "val": 50}])
+@pytest.mark.parametrize("ranges", RANGES)
+def test_lay_out(spark, docs, caps, ranges):
+    df = frame(spark, docs).drop("split").withColumn("key", F.concat(F.lit("k"), "doc_index")).withColumnRenamed("doc_index", "o")
+    got = {r.key: r for r in tokens.lay_out(df, "key", ["o"], caps=caps, **ranges).collect()}
+    at = {"train": 0, "val": 0}
+    for i, ids in docs:
+        s = "val" if i % 20 == 0 else "train"
+        if caps and at[s] >= caps[s]:
+            assert f"k{i}" not in got
+            continue
+        r = got[f"k{i}"]
+        assert (r.doc_index, r.split, r.start) == (i, s, at[s])
+        at[s] += len(ids)
+
+
 def test_range_check(spark):
     df = spark.createDataFrame([(1, [0, 65_535]), (2, [65_536]), (3, [-1]), (4, [])], "i int, ids array<int>")
     assert {r.i for r in tokens.check_u16(df).collect()} == {2, 3}
