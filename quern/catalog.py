@@ -15,6 +15,7 @@ from quern.functions.text import STRIP_CHARS
 from quern.operators import bpe, candidates, distill, mix, pieces, retention, templates, tokens
 from quern.plans.prefix import dense_rank_from_zero
 from quern.plans.stage import cut, fresh_path, shared_dir, spread
+from quern.session import tune
 from quern.sources import corpus, jsonl, sinks
 from quern.streaming import corpus_stream
 
@@ -35,7 +36,7 @@ RE2_PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+"
 
 def query(name: str, sql: str | None = None):
     def register(fn: Query) -> Query:
-        QUERIES[name] = fn
+        QUERIES[name] = lambda spark, sf_dir: fn(tune(spark), sf_dir)
         if sql is not None:
             ORACLES[name] = sql
         return fn

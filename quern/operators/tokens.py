@@ -78,7 +78,7 @@ def chunk(df: DataFrame, size: int, ids: str = "ids") -> DataFrame:
     """
     start, n = F.col("start"), F.size(ids)
     size_l = F.lit(size).cast("bigint")
-    first, last = F.floor(start / size_l), F.floor((start + n - 1) / size_l)
+    first, last = F.expr(f"`start` div {size}"), F.expr(f"(`start` + size(`{ids}`) - 1) div {size}")
     pieces = F.transform(
         F.sequence(first, last),
         lambda c: F.struct(
@@ -110,7 +110,7 @@ def windows(chunks: DataFrame, n: int, block: int, seed: int, size: int, total:
     starts = ids.select("window_id", below(top, seed, F.col("window_id")).alias("start"))
     size_l = F.lit(size).cast("bigint")
     touched = starts.withColumn("chunk_id", F.explode(
-        F.sequence(F.floor(F.col("start") / size_l), F.floor((F.col("start") + block) / size_l))))
+        F.expr(f"sequence(`start` div {size}, (`start` + {block}) div {size})")))
     begin = F.col("chunk_id") * size_l
     low = F.greatest(F.col("start"), begin)
     high = F.least(F.col("start") + block + 1, begin + size_l)
@@ -142,7 +142,7 @@ def progress(df: DataFrame, every: int = REPORT_EVERY, n_tokens: str = "n_tokens
         df = prefix_sum(df, {"_before": counted}, ["doc_index"], ["split"], dense=True, **ranges)
         limit = _cap_of(caps)
         counted = F.when(limit.isNull() | (F.col("_before") < limit), counted).otherwise(F.lit(0))
-    stretch = F.ceil(F.col("doc_index") / F.lit(every)).cast("bigint")
+    stretch = F.expr(f"(`doc_index` + {every - 1}) div {every}")
     sums = (df.groupBy(stretch.alias("line"))
             .agg(F.coalesce(F.sum(F.when(F.col("split") == "train", counted)), F.lit(0)).alias("_train"),
                  F.coalesce(F.sum(F.when(F.col("split") == "val", counted)), F.lit(0)).alias("_val"),
