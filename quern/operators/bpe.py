@@ -27,7 +27,7 @@ from quern.plans.stage import RollingTable, complete
 
 MAX_VOCAB = 65_536
 TOP_GRAMS = 1_024  # most frequent runs looked at per round
-CUT_EVERY = 48     # merges applied on the fly before the piece table is rewritten
+CUT_EVERY = 32     # merges applied on the fly before the piece table is rewritten
 PLAN_STEP = 16
 CACHE_PIECES = 500_000
 
@@ -101,7 +101,9 @@ def _merge_all(words: DataFrame, merges: list[tuple[str, str]]) -> DataFrame:
     col = F.col("symbols")
     for pair, merged in filled:
         col = F.replace(col, F.lit(pair), F.lit(merged))
-    return words.select(col.alias("symbols"), "n")
+    # ``explode`` of one element keeps the optimiser from copying the chain of
+    # replacements into every place that uses the result.
+    return words.select(F.explode(F.array(col)).alias("symbols"), "n")
 
 
 def _safe_batch(top: list[tuple[str, int]], complete_list: bool) -> list[str]:
