@@ -339,13 +339,25 @@ def sft_qa(spark, sf_dir):
     return templates.qa(qa_view(spark, sf_dir)).select("ord", "text")
 
 
-@query("sft_sharegpt", SQL_SHAREGPT)
+@query("sft_sharegpt", f"""
+      WITH said AS (SELECT doc_id, unnest(generate_series(1, len(string_split(text, chr(10))))) AS i,
+                           unnest(string_split(text, chr(10))) AS line FROM documents),
+      turns AS (SELECT doc_id, i, {sql_strip("line")} AS line, length(line) % 3 AS speaker FROM said),
+      human AS (SELECT doc_id, min(i) AS i FROM turns WHERE speaker = 1 GROUP BY doc_id),
+      reply AS (SELECT t.doc_id, min(t.i) AS i FROM turns t JOIN human h ON t.doc_id = h.doc_id AND t.i > h.i
+                WHERE speaker = 2 GROUP BY t.doc_id),
+      pairs AS (SELECT r.doc_id, a.line AS q, b.line AS a FROM reply r JOIN human h ON r.doc_id = h.doc_id
+                JOIN turns a ON a.doc_id = h.doc_id AND a.i = h.i JOIN turns b ON b.doc_id = r.doc_id AND b.i = r.i)
+      SELECT doc_id, {SQL_SHORT.format("q", "a")} AS text FROM pairs WHERE q <> '' AND a <> ''""")
 def sft_sharegpt(spark, sf_dir):
-    turn = F.struct("turn", F.lit(None).cast("string").alias("from"), "role", F.col("text").alias("value"),
-                    F.lit("").alias("content"))
-    nested = (table(spark, sf_dir, "conversations").groupBy("conv_id")
-              .agg(F.sort_array(F.collect_list(turn)).alias("conversations")))
-    return templates.sharegpt(nested).select("conv_id", "text")
+    """The lines of a document as turns; a line's length says who speaks, in either spelling."""
+    def turn(line):
+        speaker = F.char_length(line) % 3
+        return F.struct(F.when(speaker == 1, "human").when(speaker == 0, "system").alias("from"),
+                        F.when(speaker == 2, "assistant").otherwise("").alias("role"),
+                        F.when(speaker == 1, line).alias("value"), F.when(speaker != 1, line).alias("content"))
+    nested = table(spark, sf_dir, "documents").select("doc_id", F.transform(F.split("text", "\n"), turn).alias("conversations"))
+    return templates.sharegpt(nested).select("doc_id", "text")
 
 
 @query("sft_from_turns", SQL_SHAREGPT)

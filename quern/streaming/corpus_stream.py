@@ -14,12 +14,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from quern.operators.tokens import offsets, split, with_doc_index
-from quern.plans.stage import cut, exists
+from quern.operators.tokens import offsets, split, split_summary, with_doc_index
+from quern.plans.stage import cut
 from quern.sources.corpus import text_of
 from quern.sources.jsonl import parse_jsonl
 
-LEDGER = "batch_id long, split string, n_docs long, n_tokens long"
+LEDGER = "split string, n_docs long, n_tokens long"
 
 
 def open_stream(spark: SparkSession, folder: str, schema: T.StructType | str, kind: str = "jsonl",
@@ -38,12 +38,15 @@ def open_stream(spark: SparkSession, folder: str, schema: T.StructType | str, ki
 
 
 def totals_before(spark: SparkSession, ledger: str, batch_id: int) -> dict[str, tuple[int, int]]:
-    """(documents, tokens) per split over all batches before ``batch_id``."""
-    if not exists(spark, ledger):
+    """(documents, tokens) per split over all batches before ``batch_id``.
+
+    Batches are numbered without gaps and each leaves running totals, so only
+    the entry of the one before is read, however long the stream has run.
+    """
+    if batch_id == 0:
         return {}
-    rows = (spark.read.schema(LEDGER).parquet(f"{ledger}/*").where(F.col("batch_id") < batch_id)
-            .groupBy("split").agg(F.sum("n_docs").alias("d"), F.sum("n_tokens").alias("t")).collect())
-    return {r["split"]: (r["d"], r["t"]) for r in rows}
+    rows = spark.read.schema(LEDGER).parquet(f"{ledger}/{batch_id - 1}").collect()
+    return {r["split"]: (r["n_docs"], r["n_tokens"]) for r in rows}
 
 
 def index_batch(batch: DataFrame, order: list[str], totals: dict[str, tuple[int, int]],
@@ -64,17 +67,19 @@ def start_indexed(rows: DataFrame, out: str, checkpoint: str, order: list[str],
     """Write every batch, indexed, under ``out/docs`` and its totals under ``out/ledger``.
 
     Both go to a folder named after the batch and are overwritten if the batch
-    is replayed, and totals are read from earlier batches only, so a replay
-    gives the same numbers.
+    is replayed, and totals are read from the batch before, so a replay gives
+    the same numbers.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         before = totals_before(spark, f"{out}/ledger", batch_id)
         placed = cut(index_batch(prepare(batch), order, before, n_tokens))
         placed.write.mode("overwrite").parquet(f"{out}/docs/batch={batch_id}")
-        (placed.groupBy("split")
-         .agg(F.count("*").alias("n_docs"), F.sum(F.col(n_tokens).cast("bigint")).alias("n_tokens"))
-         .select(F.lit(batch_id).cast("bigint").alias("batch_id"), "split", "n_docs", "n_tokens")
+        after = dict(before)
+        for row in split_summary(placed, n_tokens).collect():
+            docs, size = before.get(row["split"], (0, 0))
+            after[row["split"]] = (docs + row["n_docs"], size + row["n_tokens"])
+        (spark.createDataFrame([(s, d, t) for s, (d, t) in after.items()], LEDGER)
          .coalesce(1).write.mode("overwrite").parquet(f"{out}/ledger/{batch_id}"))
 
     writer = rows.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)

@@ -143,8 +143,13 @@ def test_stream_equals_batch(spark, tmp_path):
 
 def test_a_replayed_batch_gives_the_same_numbers(spark, tmp_path):
     ledger = str(tmp_path / "ledger")
-    for b, docs in ((0, 10), (1, 5)):
-        spark.createDataFrame([(b, "train", docs, docs * 2)], corpus_stream.LEDGER).write.parquet(f"{ledger}/{b}")
+    for b, docs in ((0, 10), (1, 15)):
+        spark.createDataFrame([("train", docs, docs * 2)], corpus_stream.LEDGER).write.parquet(f"{ledger}/{b}")
+    assert corpus_stream.totals_before(spark, ledger, 0) == {}
     assert corpus_stream.totals_before(spark, ledger, 1) == {"train": (10, 20)}
     assert corpus_stream.totals_before(spark, ledger, 2) == {"train": (15, 30)}
-    assert corpus_stream.totals_before(spark, str(tmp_path / "none"), 5) == {}
+    with pytest.raises(Exception):
+        corpus_stream.totals_before(spark, ledger, 9)
+    batch = spark.createDataFrame([(i, "xx", 2) for i in range(50)], "id int, text string, n_tokens int")
+    a, b = (sorted(map(tuple, corpus_stream.index_batch(batch.repartition(n), ["id"], {"train": (15, 30)}).collect())) for n in (1, 7))
+    assert a == b and min(r[3] for r in a) == 15
