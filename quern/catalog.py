@@ -749,7 +749,6 @@ def token_sink(spark, sf_dir):
 def u16_export(spark, sf_dir):
     """Shards of 64 chunks: the manifest, joined with what the files hold."""
     path = fresh_path(spark, "shards")
-    path = path if "://" in path or path.startswith("file:") else f"file://{path}"
     manifest = cut(sinks.export_u16(stream_chunks(spark, sf_dir), path, CHUNK, 64))
     files = sinks.read_u16(spark, path).select("split", "shard_id", md5(joined("tokens")).alias("tokens_md5"))
     return manifest.join(files, ["split", "shard_id"]).select("split", "shard_id", "start", "n_tokens", "tokens_md5")

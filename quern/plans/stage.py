@@ -30,6 +30,14 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` with the scheme Spark would give it, for readers and writers outside Spark."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    uri = fs.makeQualified(hadoop_path).toString()
+    return "file://" + uri[5:] if uri.startswith("file:/") and not uri.startswith("file://") else uri
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Write ``df`` to the reliable checkpoint folder and drop its lineage."""
     shared_dir(df.sparkSession)

@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quern.plans.stage import complete
+from quern.plans.stage import complete, qualified
 
 MANIFEST = "split string, shard_id long, path string, start long, n_tokens long"
 
@@ -41,6 +41,7 @@ def export_u16(chunks: DataFrame, path: str, size: int, chunks_per_shard: int =
     placed = (chunks.select("split", shard.alias("shard_id"), "chunk_id", "tokens")
               .repartition("split", "shard_id").sortWithinPartitions("split", "shard_id", "chunk_id"))
     span = size * chunks_per_shard
+    path = qualified(chunks.sparkSession, path)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import uuid

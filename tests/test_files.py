@@ -82,7 +82,7 @@ def test_a_half_written_table_is_written_again(spark, chunks, tmp_path):
 
 
 def test_u16_shards_are_the_stream(spark, chunks, tmp_path):
-    path = f"file://{tmp_path}/shards"
+    path = f"{tmp_path}/shards"
     manifest = sorted(sinks.export_u16(chunks, path, 16, 8).collect(), key=lambda r: (r.split, r.shard_id))
     flat = {"train": [], "val": []}
     for i in range(100):
