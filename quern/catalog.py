@@ -252,10 +252,10 @@ SQL_LISTING = """
 
 
 def vocabulary(spark, sf_dir) -> bpe.Vocabulary:
-    """Learned once per application and scale, then read back."""
+    """Learned from the normalised texts once per application and scale, then read back."""
     app = spark.sparkContext.applicationId
     path = f"{shared_dir(spark)}/vocabulary-{app}-{sf_dir.rstrip('/').rsplit('/', 1)[-1]}-{VOCAB_SIZE}"
-    return bpe.ensure(spark, path, VOCAB_SIZE, table(spark, sf_dir, "documents"))
+    return bpe.ensure(spark, path, VOCAB_SIZE, plain_documents(spark, sf_dir))
 
 
 # --- Sources -------------------------------------------------------------------
@@ -465,19 +465,57 @@ def pair_counts(spark, sf_dir):
     return pairs.select(*[(F.array_position(symbols, F.col(c)) - 1).cast("int").alias(f"{c}_byte") for c in ("left", "right")], "n")
 
 
-@query("bpe_train")
+# Learning as a recursive query: the most frequent pair, lowest first among equals,
+# becomes one character from chr(512) on; bytes are their alphabet characters.
+SQL_LEARN = f"""
+      WITH RECURSIVE {SQL_PIECES.strip()},
+      bag AS MATERIALIZED (SELECT piece, count(*)::BIGINT AS n,
+          array_to_string(list_transform(regexp_extract_all(hex(encode(piece)), '..'),
+                                         lambda h: ({sql_list(pieces.BYTE_SYMBOLS)})[('0x' || h)::INT + 1]), '') AS sym
+        FROM (SELECT unnest(pieces) AS piece FROM split_up) GROUP BY piece),
+      learn AS (
+        SELECT 0 AS step, '' AS pair, sym, n FROM bag WHERE length(sym) > 1
+        UNION ALL
+        SELECT step + 1, best, replace(sym, best, chr(512 + step)), n
+        FROM learn, (SELECT gram AS best FROM (SELECT substr(sym, i, 2) AS gram, n
+                       FROM (SELECT sym, n, unnest(generate_series(1, length(sym) - 1)) AS i FROM learn))
+                     GROUP BY gram ORDER BY sum(n) DESC, gram LIMIT 1)
+        WHERE step < {VOCAB_SIZE - 257}),
+      merges AS MATERIALIZED (SELECT step - 1 AS rank, pair, chr(511 + step) AS symbol
+                              FROM (SELECT DISTINCT step, pair FROM learn WHERE step > 0))"""
+
+
+def sql_id(char: str) -> str:
+    return (f"(CASE WHEN unicode({char}) >= 512 THEN unicode({char}) - 255 "
+            f"ELSE list_position({sql_list(sorted(pieces.BYTE_SYMBOLS))}, {char}) END)::INT")
+
+
+@query("bpe_train", SQL_LEARN + f"""
+      SELECT rank::INT AS rank, {sql_id("substr(pair, 1, 1)")} AS "left", {sql_id("substr(pair, 2, 1)")} AS "right",
+             (rank + 257)::INT AS merged FROM merges""")
 def bpe_train(spark, sf_dir):
     return vocabulary(spark, sf_dir).merge_table(spark)
 
 
-@query("vocab_table")
+@query("vocab_table", SQL_LEARN + f""",
+      undo AS (SELECT list(symbol || pair ORDER BY rank DESC) AS steps FROM merges)
+      SELECT (rank + 257)::INT AS token_id,
+             list_reduce(steps, lambda t, m: replace(t, substr(m, 1, 1), substr(m, 2, 2)), symbol) AS token FROM merges, undo
+      UNION ALL SELECT 0, '{pieces.END_OF_TEXT}'
+      UNION ALL SELECT unnest(generate_series(1, 256))::INT, unnest({sql_list(sorted(pieces.BYTE_SYMBOLS))})""")
 def vocab_table(spark, sf_dir):
     return vocabulary(spark, sf_dir).table(spark)
 
 
-@query("bpe_encode")
+@query("bpe_encode", SQL_LEARN + f""",
+      apply AS (SELECT list(symbol || pair ORDER BY rank) AS steps FROM merges),
+      coded AS (SELECT piece, list_transform(string_split(list_reduce(steps,
+                  lambda t, m: replace(t, substr(m, 2, 2), substr(m, 1, 1)), sym), ''), lambda c: {sql_id("c")}) AS ids FROM bag, apply),
+      placed AS (SELECT doc_id, unnest(generate_series(1, len(pieces))) AS pos, unnest(pieces) AS piece FROM split_up)
+      SELECT doc_id, sum(len(ids))::INT AS n_ids, md5(string_agg(array_to_string(ids, ','), ',' ORDER BY pos)) AS ids_md5
+      FROM placed JOIN coded USING (piece) GROUP BY doc_id""")
 def bpe_encode(spark, sf_dir):
-    coded_docs = bpe.encode(table(spark, sf_dir, "documents"), vocabulary(spark, sf_dir))
+    coded_docs = bpe.encode(plain_documents(spark, sf_dir), vocabulary(spark, sf_dir))
     return coded_docs.select("doc_id", F.size("ids").alias("n_ids"), md5(joined("ids")).alias("ids_md5"))
 
 
