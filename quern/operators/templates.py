@@ -57,12 +57,13 @@ def sharegpt(df: DataFrame, conversation: str = "conversations") -> DataFrame:
         "_first", F.array_position(F.transform("_turns", lambda t: t["role"].isin(*HUMAN_ROLES)), True).cast("int"))
     after = F.filter(F.slice("_turns", F.col("_first") + 1, F.size("_turns")),
                      lambda t: t["role"].isin(*ASSISTANT_ROLES))
-    shaped = (shaped.where(F.col("_first") > 0)
-              .withColumn("_ask", F.get("_turns", F.col("_first") - 1)["said"])
-              .withColumn("_reply", F.get(after, F.lit(0))["said"]))
-    return (shaped.where((F.col("_ask") != "") & (F.col("_reply") != ""))
-            .withColumn("text", _short(F.col("_ask"), F.col("_reply")))
-            .drop("_turns", "_first", "_ask", "_reply"))
+    pair = F.struct(F.get("_turns", F.col("_first") - 1)["said"].alias("ask"),
+                    F.get(after, F.lit(0))["said"].alias("reply"))
+    # ``explode`` of one element keeps the filter from repeating the work above.
+    shaped = shaped.withColumn("_pair", F.explode(F.array(pair)))
+    return (shaped.where((F.col("_pair.ask") != "") & (F.col("_pair.reply") != ""))
+            .withColumn("text", _short(F.col("_pair.ask"), F.col("_pair.reply")))
+            .drop("_turns", "_first", "_pair"))
 
 
 def sharegpt_rows(turns: DataFrame, conversation: str = "conv_id", turn: str = "turn",

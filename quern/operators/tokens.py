@@ -88,7 +88,9 @@ def chunk(df: DataFrame, size: int, ids: str = "ids") -> DataFrame:
                     (F.greatest(start, c * size_l) - start + 1).cast("int"),
                     (F.least(start + n, (c + 1) * size_l) - F.greatest(start, c * size_l)).cast("int"),
                     ).alias("part")))
-    return (df.where(n > 0).select("split", F.inline(pieces))
+    # An empty document is left out here, not by a filter: a filter would move
+    # below whatever makes the ids and have them made twice.
+    return (df.select("split", F.inline(F.when(n > 0, pieces)))
             .groupBy("split", "chunk_id")
             .agg(F.sort_array(F.collect_list(F.struct("at", "part"))).alias("parts"))
             .select("split", "chunk_id", F.flatten(F.col("parts.part")).alias("tokens")))

@@ -37,10 +37,11 @@ def parse_jsonl(lines: DataFrame, schema: T.StructType | str, line: str = "value
     """
     schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
     kept = [c for c in lines.columns if c != line]
-    objects = (lines.withColumn(line, strip(F.col(line)))
-               .where(F.startswith(line, F.lit("{")) & _is_one(F.col(line)))
-               .withColumn("_row", _wrapped(F.col(line), schema)["value"]))
-    return objects.where(F.col("_row").isNotNull()).select(
+    objects = lines.withColumn(line, strip(F.col(line))).where(F.startswith(line, F.lit("{")) & _is_one(F.col(line)))
+    # ``explode`` of one element: the filter on the row stays above it, so that
+    # the line is parsed once and not for the filter as well.
+    rows = objects.select(*kept, F.explode(F.array(_wrapped(F.col(line), schema)["value"])).alias("_row"))
+    return rows.where(F.col("_row").isNotNull()).select(
         *kept, *[F.col("_row").getField(f.name).alias(f.name) for f in schema.fields])
 
 
