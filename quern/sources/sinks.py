@@ -29,7 +29,7 @@ def write_tokens(chunks: DataFrame, path: str, fingerprint: str | None = None) -
     return True
 
 
-def export_u16(chunks: DataFrame, path: str, size: int, chunks_per_shard: int = 4_096) -> DataFrame:
+def export_u16(chunks: DataFrame, path: str, size: int, chunks_per_shard: int = 512) -> DataFrame:
     """Write each split as little-endian 16-bit shards; returns the manifest.
 
     A shard is a fixed run of chunks, so its place in the stream follows from
