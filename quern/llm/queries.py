@@ -5,16 +5,35 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from quern.llm import bpe_files, common, line_dedup
+from quern.llm import bpe_files, common, imatch, language_id, line_dedup, mixing, warc
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
 
+#: Part of the entropy of equal weights that the mixture is to reach.
+ENTROPY = 0.995
+
 #: White space of the contracts, for SQL.
 SPACES = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 ABC = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.predictions(common.table(spark, sf_dir, "documents"))
+
+
+def op6_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.digests(common.table(spark, sf_dir, "pages"))
+
+
+def op7_temperature_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixture(common.table(spark, sf_dir, "documents"), budget_share=1.0, target_entropy=ENTROPY, max_epochs=4.0)
+
+
+def op8_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return imatch.edits(common.table(spark, sf_dir, "documents"))
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_files.digests(common.table(spark, sf_dir, "documents"), RANKS, PATTERN)
 
@@ -37,5 +56,32 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
 FROM judged GROUP BY doc_id"""
 
-QUERIES = {"op9_byte_bpe": op9_byte_bpe, "op10_line_dedup": op10_line_dedup}
-ORACLES = {"op10_line_dedup": SQL_LINES}
+SQL_MIX = f"""
+WITH docs AS (
+  SELECT doc_id, source, CASE WHEN source IS NULL THEN 'null' ELSE 's' || source END AS skey,
+         coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS n FROM documents),
+sources AS (SELECT skey, sum(n)::DOUBLE AS size, count(*) AS docs FROM docs GROUP BY skey HAVING sum(n) > 0),
+shares AS (SELECT *, size / sum(size) OVER () AS share, sum(size) OVER () AS total FROM sources),
+grid AS (SELECT k, ln(sum(pow(share, k / {mixing.GRID}))) - k / {mixing.GRID} * sum(pow(share, k / {mixing.GRID}) * ln(share))
+                / sum(pow(share, k / {mixing.GRID})) AS entropy,
+                max(pow(share, k / {mixing.GRID} - 1.0)) / sum(pow(share, k / {mixing.GRID})) AS epochs, count(*) AS sources
+         FROM shares, range(0, {mixing.GRID} + 1) AS g(k) GROUP BY k),
+step AS (SELECT CASE WHEN (SELECT epochs FROM grid WHERE k = a) > 4.0
+                THEN least({mixing.GRID}, (SELECT coalesce(max(k), -1) + 1 FROM grid WHERE epochs > 4.0)) ELSE a END / {mixing.GRID} AS alpha
+         FROM (SELECT coalesce(max(k), 0) AS a FROM grid WHERE entropy >= {ENTROPY} * ln(sources) - 1e-12)),
+quotas AS (SELECT skey, size, docs, floor(round(pow(share, alpha) / sum(pow(share, alpha)) OVER (), 9) * total)::BIGINT AS quota
+           FROM shares, step),
+split AS (SELECT *, quota // size::BIGINT AS whole, quota % size::BIGINT AS rest FROM quotas),
+drawn AS (SELECT d.*, s.size, s.docs, s.quota, s.whole, s.rest, epoch,
+                 md5('7|' || epoch || '|' || coalesce(d.doc_id::VARCHAR, '')) AS key
+          FROM docs d JOIN split s USING (skey), unnest(range(0, s.whole + 1)) AS e(epoch)),
+placed AS (SELECT *, ('0x' || substr(key, 1, 12))::BIGINT::DOUBLE / pow(16, 12) AS unit FROM drawn),
+ranked AS (SELECT *, coalesce(sum(n) OVER (PARTITION BY skey, epoch ORDER BY key, doc_id, n
+                     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM placed)
+SELECT doc_id, source, n AS n_tokens, epoch, floor(unit * ceil(docs / {mixing.BLOCK_DOCS}.0))::BIGINT AS block,
+       round((epoch + unit) * size / quota, 9) AS place
+FROM ranked WHERE epoch < whole OR before < rest"""
+
+QUERIES = {"op5_language_id": op5_language_id, "op6_warc_derivatives": op6_warc_derivatives,
+           "op7_temperature_mix": op7_temperature_mix, "op8_imatch": op8_imatch, "op9_byte_bpe": op9_byte_bpe, "op10_line_dedup": op10_line_dedup}
+ORACLES = {"op7_temperature_mix": SQL_MIX, "op10_line_dedup": SQL_LINES}
