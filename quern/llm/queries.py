@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from quern.llm import bpe_files, common, imatch, language_id, line_dedup, mixing, warc
+from quern.llm import bpe_files, common, imatch, language_id, line_dedup, lm_score, mixing, multi_index, ngram_join, passage_dedup, warc
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
@@ -18,6 +18,22 @@ SPACES = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 ABC = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
 
+def op1_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.scores(common.table(spark, sf_dir, "documents"))
+
+
+def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.classes(common.table(spark, sf_dir, "documents"))
+
+
+def op3_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return multi_index.near_vectors(common.table(spark, sf_dir, "embeddings"))
+
+
+def op4_passage_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passage_dedup.digests(common.table(spark, sf_dir, "documents"))
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.predictions(common.table(spark, sf_dir, "documents"))
 
@@ -56,6 +72,47 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
 FROM judged GROUP BY doc_id"""
 
+WORDS = "list_filter(string_split_regex(text, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '')"
+
+SQL_PASSAGES = f"""
+WITH docs AS (SELECT doc_id, coalesce({WORDS}, CAST([] AS VARCHAR[])) AS w FROM documents),
+starts AS (SELECT doc_id, p, array_to_string(w[p:p + 34], ' ') AS seq FROM docs, unnest(range(1, len(w) - 33)) AS t(p) WHERE len(w) >= 35),
+repeated AS (SELECT doc_id, p FROM (SELECT doc_id, p, count(*) OVER (PARTITION BY seq) AS n FROM starts) WHERE n > 1),
+covered AS (SELECT DISTINCT doc_id, place FROM repeated, unnest(range(p, p + 35)) AS t(place)),
+lost AS (SELECT doc_id, list(place) AS gone FROM covered GROUP BY doc_id)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(len(gone), 0)::BIGINT AS n_removed,
+       sha256(array_to_string(list_transform(list_filter(list_zip(w, range(1, len(w) + 1)), lambda x: NOT coalesce(list_contains(gone, x[2]), false)), lambda x: x[1]), ' ')) AS kept_sha256
+FROM docs d LEFT JOIN lost l ON d.doc_id = l.doc_id"""
+
+SQL_JACCARD = f"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, {WORDS.replace("text", f"translate(text, {ABC})")} AS w FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN w IS NULL OR len(w) = 0 THEN CAST([] AS VARCHAR[]) WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+                 ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda p: array_to_string(w[p:p + 4], ' '))) END AS s FROM docs),
+tokens AS (SELECT doc_id, len(s) AS n, unnest(s) AS t FROM sets),
+counted AS (SELECT a.doc_id AS a, b.doc_id AS b, any_value(a.n) AS na, any_value(b.n) AS nb, count(*) AS shared
+           FROM tokens a JOIN tokens b ON a.t = b.t AND a.doc_id < b.doc_id GROUP BY 1, 2),
+links AS (SELECT a, b FROM counted WHERE 100 * shared >= 75 * (na + nb - shared)),
+edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach(doc_id, root) AS (
+  SELECT doc_id, doc_id FROM documents
+  UNION SELECT e.b, r.root FROM reach r JOIN edges e ON e.a = r.doc_id WHERE r.root < e.b)
+SELECT doc_id, any_value(len(s))::BIGINT AS n_shingles, min(root) AS component_id FROM sets JOIN reach USING (doc_id) GROUP BY doc_id"""
+
+SQL_VECTORS = """
+WITH RECURSIVE valid AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM valid a JOIN valid b ON a.label = b.label AND a.vec_id <> b.vec_id
+          WHERE list_cosine_similarity(a.v, b.v) >= 0.93),
+reach(vec_id, root) AS (
+  SELECT vec_id, vec_id FROM embeddings
+  UNION SELECT l.b, r.root FROM reach r JOIN links l ON l.a = r.vec_id WHERE r.root < l.b)
+SELECT e.vec_id, (SELECT count(*) FROM links l WHERE l.a = e.vec_id) AS n_links, min(root) AS component_id, min(root) = e.vec_id AS kept
+FROM embeddings e JOIN reach r USING (vec_id) GROUP BY e.vec_id"""
+
 SQL_MIX = f"""
 WITH docs AS (
   SELECT doc_id, source, CASE WHEN source IS NULL THEN 'null' ELSE 's' || source END AS skey,
@@ -82,6 +139,7 @@ SELECT doc_id, source, n AS n_tokens, epoch, floor(unit * ceil(docs / {mixing.BL
        round((epoch + unit) * size / quota, 9) AS place
 FROM ranked WHERE epoch < whole OR before < rest"""
 
-QUERIES = {"op5_language_id": op5_language_id, "op6_warc_derivatives": op6_warc_derivatives,
+QUERIES = {"op1_pitman_yor": op1_pitman_yor, "op2_ngram_join": op2_ngram_join, "op3_multi_index": op3_multi_index,
+           "op4_passage_dedup": op4_passage_dedup, "op5_language_id": op5_language_id, "op6_warc_derivatives": op6_warc_derivatives,
            "op7_temperature_mix": op7_temperature_mix, "op8_imatch": op8_imatch, "op9_byte_bpe": op9_byte_bpe, "op10_line_dedup": op10_line_dedup}
-ORACLES = {"op7_temperature_mix": SQL_MIX, "op10_line_dedup": SQL_LINES}
+ORACLES = {"op2_ngram_join": SQL_JACCARD, "op3_multi_index": SQL_VECTORS, "op4_passage_dedup": SQL_PASSAGES, "op7_temperature_mix": SQL_MIX, "op10_line_dedup": SQL_LINES}
