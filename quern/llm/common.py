@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from quern.plans import stage
 
-WORD_CACHE = 1 << 18
+WORD_CACHE = 1 << 17
 GOLDEN = 0x9E3779B97F4A7C15
 
 
@@ -31,6 +31,27 @@ def kept(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def kept_by(df: DataFrame, name: str, column: str) -> dict:
+    """``kept``, with a folder per value of ``column``: a function from a value to its table, one to delete it."""
+    spark, path = df.sparkSession, stage.fresh_path(df.sparkSession, name)
+    df.write.partitionBy(column).parquet(path)
+    schema = T.StructType([f for f in df.schema.fields if f.name != column])
+
+    def folder(value):
+        return spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{column}={value}")
+
+    def read(value) -> DataFrame:
+        place = folder(value)
+        found = place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+        return spark.read.schema(schema).parquet(str(place)) if found else spark.createDataFrame([], schema)
+
+    def delete(value) -> None:
+        place = folder(value)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+    return {"read": read, "delete": delete}
+
+
 def drop_kept(df: DataFrame) -> None:
     """Delete a table that ``kept`` wrote and nothing reads any more."""
     spark = df.sparkSession

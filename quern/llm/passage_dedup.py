@@ -30,6 +30,7 @@ import uuid
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -38,7 +39,7 @@ from quern.llm import common, recompression
 
 SIZE = 35
 BITS = 1 << 26
-PIECE_WORDS = 1 << 18
+PIECE_WORDS = 1 << 17
 
 
 class Piece:
@@ -69,12 +70,13 @@ class Piece:
             self.elected = np.concatenate(found)  # once per symbol
 
 
-def pieces(texts: list[bytes]):
+def pieces(texts: pa.Array):
     """Ranges of rows with about PIECE_WORDS words (six bytes each)."""
     lo = size = 0
-    for i, text in enumerate(texts):
-        size += len(text)
-        if size >= 6 * PIECE_WORDS or i == len(texts) - 1:
+    lengths = pc.fill_null(pc.binary_length(texts), 0).to_pylist()
+    for i, n in enumerate(lengths):
+        size += n
+        if size >= 6 * PIECE_WORDS or i == len(lengths) - 1:
             yield lo, i + 1
             lo, size = i + 1, 0
 
@@ -84,9 +86,8 @@ def _symbols(docs: DataFrame, size: int) -> DataFrame:
     def run(batches):
         hashes = common.WordHashes()
         for batch in batches:
-            texts = common.text_bytes(batch.column(0))
-            for lo, hi in pieces(texts):
-                piece = Piece(texts[lo:hi], hashes, size)
+            for lo, hi in pieces(batch.column(0)):
+                piece = Piece(common.text_bytes(batch.column(0).slice(lo, hi - lo)), hashes, size)
                 if len(piece.windows):
                     key, n = np.unique(piece.elected, return_counts=True)
                     yield pa.RecordBatch.from_arrays([pa.array(common.signed(key)), pa.array(n.astype(np.int32))], ["key", "n"])
@@ -117,9 +118,9 @@ def _blocks(docs: DataFrame, text: str, size: int, marks, buckets: int) -> DataF
         hashes = common.WordHashes()
         options = pa.ipc.IpcWriteOptions(compression="zstd")
         for batch in batches:
-            texts = common.text_bytes(batch.column(batch.schema.get_field_index(text)))
+            texts = batch.column(batch.schema.get_field_index(text))
             for lo, hi in pieces(texts):
-                piece, block = Piece(texts[lo:hi], hashes, size), uuid.uuid4().int >> 65
+                piece, block = Piece(common.text_bytes(texts.slice(lo, hi - lo)), hashes, size), uuid.uuid4().int >> 65
                 sink = pa.BufferOutputStream()
                 with pa.ipc.new_stream(sink, batch.schema, options=options) as writer:
                     writer.write_batch(batch.slice(lo, hi - lo))
@@ -192,9 +193,12 @@ def dedup_passages(docs: DataFrame, text: str = "text", size: int = SIZE) -> Dat
     spark = docs.sparkSession
     base = common.without(docs, ["n_words", "n_removed"])
     marks = spark.sparkContext.broadcast(_bitmap(_symbols(base.select(f"`{text}`"), size)))
-    blocks = common.kept(_blocks(base, text, size, marks, common.slots(spark)), "blocks")
-    replies = _replies(blocks.where("kind = 1").select("bucket", "block", "data"))
-    rows = blocks.where("kind <> 1").select("kind", "block", "data").unionByName(replies)
+    blocks = common.kept_by(_blocks(base, text, size, marks, common.slots(spark)), "blocks", "kind")
+    replies = common.kept(_replies(blocks["read"](1).select("bucket", "block", "data")), "replies")
+    blocks["delete"](1)  # answered
+    rows = replies
+    for kind in (0, 2):
+        rows = rows.unionByName(blocks["read"](kind).select(F.lit(kind).alias("kind"), "block", "data"))
     schema = T.StructType([*base.schema.fields, T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType())])
 
     def finish(group):
