@@ -184,7 +184,7 @@ def dedup_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", min
     keys = common.kept(repeated_keys(docs, text, doc_id, min_chars, min_docs), "line-keys")
     # Smallest count (a power of two) from which on all keys fit the bound; at most 64 rows come back.
     sizes = dict(keys.groupBy(F.floor(F.log2("n")).cast("int").alias("b")).count().collect())
-    floor, taken = 64, 0
+    floor, taken = 62, 0
     for b in sorted(sizes, reverse=True):
         if taken + sizes[b] > most:
             break
