@@ -6,6 +6,7 @@ array, the query returns its MD5 digest instead, so that results stay small.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 from quern.functions.text import STRIP_CHARS
 from quern.operators import bpe, candidates, distill, mix, pieces, retention, templates, tokens
 from quern.plans.prefix import dense_rank_from_zero
-from quern.plans.stage import cut, fresh_path, shared_dir, spread
+from quern.plans.stage import content_key, cut, fresh_path, shared_dir
 from quern.session import tune
 from quern.sources import corpus, jsonl, sinks
 from quern.streaming import corpus_stream
@@ -47,6 +48,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """On a local master only: deal the one file of a test table out over the cores.
+
+    Heavy work per row (patterns, coding) would otherwise run in one task. On a
+    cluster scans are never shuffled.
+    """
+    context = scan.sparkSession.sparkContext
+    if not re.match(r"local(\[|$)", context.master):
+        return scan
+    return scan.repartition(context.defaultParallelism) if scan.rdd.getNumPartitions() < context.defaultParallelism else scan
+
+
 def md5(col: Column | str) -> Column:
     return F.md5((F.col(col) if isinstance(col, str) else col).cast("binary"))
 
@@ -252,12 +265,17 @@ SQL_LISTING = """
 
 
 def vocabulary(spark, sf_dir) -> bpe.Vocabulary:
-    """Learned from the normalised texts once per application and scale, then read back."""
+    """Learned from the normalised texts once per application and content, then read back."""
     app = spark.sparkContext.applicationId
-    path = f"{shared_dir(spark)}/vocabulary-{app}-{sf_dir.rstrip('/').rsplit('/', 1)[-1]}-{VOCAB_SIZE}"
+    path = f"{shared_dir(spark)}/vocabulary-{app}-{content_key(spark, f'{sf_dir}/documents.parquet')}-{VOCAB_SIZE}"
     return bpe.ensure(spark, path, VOCAB_SIZE, plain_documents(spark, sf_dir))
 
 
+def learned(spark, sf_dir) -> bpe.Vocabulary:
+    """Learned from the normalised texts in this very run."""
+    return bpe.train(pieces.piece_counts(plain_documents(spark, sf_dir)), VOCAB_SIZE)
+
+
 # --- Sources -------------------------------------------------------------------
 
 @query("jsonl_source", "SELECT doc_id, lang, md5(text) AS text_md5 FROM documents")
@@ -494,7 +512,7 @@ def sql_id(char: str) -> str:
       SELECT rank::INT AS rank, {sql_id("substr(pair, 1, 1)")} AS "left", {sql_id("substr(pair, 2, 1)")} AS "right",
              (rank + 257)::INT AS merged FROM merges""")
 def bpe_train(spark, sf_dir):
-    return vocabulary(spark, sf_dir).merge_table(spark)
+    return learned(spark, sf_dir).merge_table(spark)
 
 
 @query("vocab_table", SQL_LEARN + f""",
@@ -504,7 +522,7 @@ def bpe_train(spark, sf_dir):
       UNION ALL SELECT 0, '{pieces.END_OF_TEXT}'
       UNION ALL SELECT unnest(generate_series(1, 256))::INT, unnest({sql_list(sorted(pieces.BYTE_SYMBOLS))})""")
 def vocab_table(spark, sf_dir):
-    return vocabulary(spark, sf_dir).table(spark)
+    return learned(spark, sf_dir).table(spark)
 
 
 @query("bpe_encode", SQL_LEARN + f""",
@@ -787,7 +805,7 @@ def token_sink(spark, sf_dir):
 def u16_export(spark, sf_dir):
     """Shards of 64 chunks: the manifest, joined with what the files hold."""
     path = fresh_path(spark, "shards")
-    manifest = cut(sinks.export_u16(stream_chunks(spark, sf_dir), path, CHUNK, 64))
+    manifest = sinks.export_u16(stream_chunks(spark, sf_dir), path, CHUNK, 64)
     files = sinks.read_u16(spark, path).select("split", "shard_id", md5(joined("tokens")).alias("tokens_md5"))
     return manifest.join(files, ["split", "shard_id"]).select("split", "shard_id", "start", "n_tokens", "tokens_md5")
 
@@ -796,9 +814,9 @@ def u16_export(spark, sf_dir):
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weighted blend of four sources, held-out split, documents and characters per split."""
-    blend = mix.interleave(by_language(spark, sf_dir), WEIGHTS, SEED)
-    sized = tokens.split(blend).withColumn("n_tokens", F.char_length("text"))
-    return tokens.split_summary(sized)
+    docs = by_language(spark, sf_dir)
+    sizes = docs.select("source_id", "ord", F.char_length("text").alias("n_tokens"))  # texts take no part in the join
+    return tokens.split_summary(tokens.split(mix.blend_order(docs, WEIGHTS, SEED)).join(sizes, ["source_id", "ord"]))
 
 
 query("mix_split_summary", sql_mix(WEIGHTS) + """

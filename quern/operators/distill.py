@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from quern.functions.draw import choice
 from quern.functions.text import strip
 from quern.plans.prefix import dense_rank_from_zero
+from quern.plans.stage import cut
 
 # The pools and recipes prompts are drawn from.
 TOPICS = [
@@ -78,7 +79,7 @@ def known_recipes(names: list[str] | None) -> list[str]:
         return list(RECIPES)
     kept = [n.strip() for n in names if n.strip() in RECIPES]
     if not kept:
-        raise ValueError("no valid recipes selected")
+        raise ValueError(f"none of {names} is a recipe; there are {list(RECIPES)}")
     return kept
 
 
@@ -151,7 +152,7 @@ def parse_replies(df: DataFrame, body: str = "body") -> DataFrame:
 def triage(df: DataFrame, status: str = "status", text: str = "text", retry_after: str = "retry_after") -> DataFrame:
     """Add ``outcome`` and ``cooldown_s`` per stored reply; a null status is a network error."""
     code = F.col(status)
-    wait = F.coalesce(F.expr(f"try_cast({retry_after} AS INT)"), F.lit(BUSY_SECONDS))
+    wait = F.coalesce(F.col(f"`{retry_after}`").try_cast("int"), F.lit(BUSY_SECONDS))
 
     def cases(network, accepted, unreadable, busy, refused) -> Column:
         return (F.when(code.isNull(), network)
@@ -176,9 +177,10 @@ def dry_run(plan: DataFrame) -> DataFrame:
 def remaining(plan: DataFrame, corpus: DataFrame, target: int, request: str = "plan_id", **ranges) -> DataFrame:
     """The next requests to send so that the corpus reaches ``target`` documents."""
     missing = max(0, target - corpus.count())
-    todo = plan.join(corpus.select(request), request, "left_anti")
-    ids = dense_rank_from_zero(todo.select(request), "_at", [request], ceilings={"_at": F.lit(missing)}, **ranges)
-    return todo.join(ids.drop("_at"), request, "left_semi")
+    # Ids alone are compared and ranked, and written once; the plan meets them in one join.
+    todo = cut(plan.select(request).join(corpus.select(request), request, "left_anti"))
+    ids = dense_rank_from_zero(todo, "_at", [request], ceilings={"_at": F.lit(missing)}, **ranges)
+    return plan.join(ids.drop("_at"), request, "left_semi")
 
 
 def corpus_report(df: DataFrame) -> DataFrame:
@@ -186,8 +188,9 @@ def corpus_report(df: DataFrame) -> DataFrame:
 
     ``level`` is 0 for a (recipe, teacher) row, 1 for a recipe total, 3 for the total.
     """
-    chars = F.sum(F.char_length("text").cast("bigint"))
-    return (df.rollup("recipe", "teacher")
-            .agg(F.grouping_id().cast("int").alias("level"), F.count("*").alias("n_docs"), chars.alias("n_chars"))
+    per_pair = (df.groupBy("recipe", "teacher")
+                .agg(F.count("*").alias("n"), F.sum(F.char_length("text").cast("bigint")).alias("chars")))
+    return (per_pair.rollup("recipe", "teacher")
+            .agg(F.grouping_id().cast("int").alias("level"), F.sum("n").alias("n_docs"), F.sum("chars").alias("n_chars"))
             .withColumns({"mean_chars": F.expr("n_chars div n_docs"),
                           "est_tokens": F.expr(f"n_chars div {CHARS_PER_TOKEN}")}))

@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from quern.plans.prefix import dense_rank_from_zero
+
 # Artifact names, as an optional folder prefix and a step number.
 NAME_PATTERN = r"^(.*/)?ckpt_([0-9]+)\.pt$"
-GROUP_LIMIT = 1_000
+GROUP_LIMIT = 1_000  # up to this number the optimiser limits prefixes before the shuffle
 
 
 def steps(listing: DataFrame, path: str = "path") -> DataFrame:
@@ -27,16 +29,19 @@ def latest(listing: DataFrame, path: str = "path") -> DataFrame:
 def retention(listing: DataFrame, keep: int, path: str = "path") -> DataFrame:
     """Add ``action``: ``keep`` for the newest ``keep`` per prefix, else ``delete``.
 
-    ``keep`` <= 0 keeps everything. Only the newest ``keep`` per prefix and task
-    are shuffled to find them; the listing is then matched by its unique path.
+    ``keep`` <= 0 keeps everything. Up to GROUP_LIMIT only the newest per prefix
+    and task are shuffled to find them; beyond, they are numbered by ranges. The
+    listing is then matched by its unique path.
     """
     known = steps(listing, path)
     if keep <= 0:
         return known.withColumn("action", F.lit("keep"))
-    if keep > GROUP_LIMIT:
-        raise ValueError(f"keep at most {GROUP_LIMIT} artifacts per prefix, or 0 for all")
-    newest = Window.partitionBy("prefix").orderBy(F.desc("step"), F.desc(path))
-    kept = (known.withColumn("_at", F.row_number().over(newest)).where(F.col("_at") <= keep)
-            .select(path, F.lit("keep").alias("action")))
+    ordered = known.withColumn("_down", -F.col("step"))
+    if keep <= GROUP_LIMIT:
+        newest = Window.partitionBy("prefix").orderBy("_down", path)
+        ranked = ordered.withColumn("_at", F.row_number().over(newest)).where(F.col("_at") <= keep)
+    else:
+        ranked = dense_rank_from_zero(ordered.select("prefix", "_down", path), "_at", ["_down", path], ["prefix"]).where(F.col("_at") < keep)
+    kept = ranked.select(path, F.lit("keep").alias("action"))
     return (known.join(kept, path, "left")
             .withColumn("action", F.coalesce("action", F.lit("delete"))))

@@ -103,7 +103,7 @@ def format_examples(df: DataFrame, entry: dict) -> DataFrame:
         if isinstance(df.schema[field].dataType, T.ArrayType):
             return sharegpt(df, field)
         raise ValueError(f"{field!r} is not an array of turns; use sharegpt_rows for one row per turn")
-    raise ValueError(f"unknown instruction format {kind!r} (use alpaca / qa / sharegpt)")
+    raise ValueError(f"no template is called {kind!r}; there are alpaca, qa and sharegpt")
 
 
 def frame_prompts(df: DataFrame, message: str = "message", out: str = "prompt") -> DataFrame:

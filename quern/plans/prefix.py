@@ -19,7 +19,6 @@ from __future__ import annotations
 
 import json
 import math
-from datetime import date, datetime
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -28,6 +27,7 @@ from pyspark.sql import types as T
 
 ROWS_PER_RANGE = 500_000
 MAX_RANGES = 8_192
+RANGES_PER_SLOT = 8  # on clusters with more shuffle partitions than that
 SAMPLES_PER_RANGE = 24
 SMALL_ROWS = 100_000
 SAMPLE_SEED = 20_240_501
@@ -37,46 +37,56 @@ _FIRST = "_first"
 _VALUE = "_value_"
 
 
+def _sortable(df: DataFrame, cols: list[str]) -> list[Column]:
+    """Columns with the order of ``cols`` that a string can hold; bytes compare as their hexadecimal form does."""
+    out = []
+    for c in cols:
+        kind = df.schema[c].dataType
+        if isinstance(kind, (T.ArrayType, T.MapType, T.StructType)):
+            raise TypeError(f"{c!r} is not a plain value; order by its parts")
+        out.append(F.hex(F.col(c)) if isinstance(kind, T.BinaryType) else F.col(c))
+    return out
+
+
 def cut_points(df: DataFrame, cols: list[str], rows_per_range: int | None = None,
                n_rows: int | None = None) -> list[tuple]:
-    """Sorted cut points over ``cols`` for ranges of about equal row counts.
+    """Ascending cut points over ``cols``, as strings, for ranges of about equal row counts.
 
-    At most MAX_RANGES * SAMPLES_PER_RANGE key tuples reach the driver. The
+    Spark sorts the sample, so nulls, NaN and every plain type have their usual
+    order. At most SAMPLES_PER_RANGE key tuples per range reach the driver. The
     points steer balance only; any points give the same totals.
     """
     rows_per_range = rows_per_range or ROWS_PER_RANGE
     n = df.count() if n_rows is None else n_rows
-    ranges = min(MAX_RANGES, math.ceil(n / rows_per_range))
+    most = max(MAX_RANGES, RANGES_PER_SLOT * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    ranges = min(most, math.ceil(n / rows_per_range))
     if ranges <= 1:
         return []
     wanted = ranges * SAMPLES_PER_RANGE
-    narrow = df.select(*cols)
+    keys = [f"c{i}" for i in range(len(cols))]
+    narrow = df.select(*[c.alias(k) for k, c in zip(keys, _sortable(df, cols))])
     if wanted < n:
         narrow = narrow.sample(fraction=wanted / n, seed=SAMPLE_SEED)
-    rows = sorted(tuple(r) for r in narrow.collect())
+    rows = [tuple(r) for r in narrow.orderBy(*keys).select(*[F.col(k).cast("string") for k in keys]).collect()]
     picked = [rows[len(rows) * i // ranges] for i in range(1, ranges)] if rows else []
-    return sorted(set(picked))
-
+    return list(dict.fromkeys(picked))
 
-def _literal_points(points: list[tuple], schema: T.StructType) -> Column:
-    """All points as one foldable literal instead of one plan node per value."""
-    def plain(v):
-        return v.isoformat() if isinstance(v, (datetime, date)) else v
 
-    names = [f.name for f in schema.fields]
-    text = json.dumps([dict(zip(names, map(plain, p))) for p in points])
-    return F.from_json(F.lit(text), T.ArrayType(schema))
+def _literal_points(points: list[tuple], kinds: list[T.DataType]) -> Column:
+    """All points as one sorted, foldable array instead of one plan node per value."""
+    names = [f"c{i}" for i in range(len(kinds))]
+    text = json.dumps([dict(zip(names, p)) for p in points])
+    plain = F.from_json(F.lit(text), T.ArrayType(T.StructType([T.StructField(n, T.StringType()) for n in names])))
+    return F.sort_array(plain.cast(T.ArrayType(T.StructType([T.StructField(n, k) for n, k in zip(names, kinds)]))))
 
 
 def range_of(df: DataFrame, cols: list[str], points: list[tuple]) -> Column:
-    """Number of cut points not above the row's key, by binary search."""
+    """Number of cut points not above the row's key, by binary search; nulls come first."""
     if not points:
         return F.lit(0).cast("bigint")
-    fields = [T.StructField(f"c{i}", df.schema[c].dataType) for i, c in enumerate(cols)]
-    array = _literal_points(points, T.StructType(fields))
-    key = F.struct(*[F.col(c).alias(f"c{i}") for i, c in enumerate(cols)])
-    if len(cols) == 1:
-        array, key = array["c0"], F.col(cols[0])
+    kinds = [T.StringType() if isinstance(df.schema[c].dataType, T.BinaryType) else df.schema[c].dataType for c in cols]
+    array = _literal_points(points, kinds)
+    key = F.struct(*[k.alias(f"c{i}") for i, k in enumerate(_sortable(df, cols))])
     strides = [2**i for i in range(len(points).bit_length() - 1, -1, -1)]
     return F.aggregate(
         F.array(*[F.lit(s) for s in strides]),
@@ -107,7 +117,7 @@ def prefix_sum(df: DataFrame, values: dict[str, Column], order: list[str],
                points_from: DataFrame | None = None) -> DataFrame:
     """Add, per output name, the total of the value over earlier rows of the key.
 
-    ``order`` must be unique and non-null inside a key and ascending. The total
+    ``order`` must be unique inside a key and ascending; nulls come first. The total
     excludes the row itself. With ``dense`` the order is one column of document
     numbers, and ranges need no look at the data. ``ceilings`` maps an output
     name to an exclusive upper bound that depends on the keys only: rows whose

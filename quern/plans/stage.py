@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import tempfile
 import uuid
 
@@ -44,24 +45,26 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def spread(scan: DataFrame) -> DataFrame:
-    """Deal a scan with fewer partitions than cores out over all of them.
-
-    For the small files of a test: work per row that is heavy (patterns, coding)
-    would run in one task per file. A scan of many files is left alone, so
-    nothing is shuffled at scale. Only for plain scans, whose partitions are
-    known without running anything.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
-
-
 def exists(spark: SparkSession, path: str) -> bool:
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     fs = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
     return fs.exists(hadoop_path)
 
 
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete a table nothing reads any more."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def content_key(spark: SparkSession, path: str) -> str:
+    """Digest of a table's full path and of the sizes and times of its files."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    parts = sorted(f"{s.getPath()}|{s.getLen()}|{s.getModificationTime()}" for s in fs.listStatus(place))
+    return hashlib.sha256("\n".join([str(fs.makeQualified(place)), *parts]).encode()).hexdigest()[:24]
+
+
 class RollingTable:
     """A table rewritten many times by a loop: each version replaces the last.
 
@@ -81,8 +84,7 @@ class RollingTable:
 
     def drop(self) -> None:
         if self.path is not None:
-            target = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
-            target.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(target, True)
+            drop_path(self.spark, self.path)
             self.path = None
 
 

@@ -119,3 +119,38 @@ def test_choose_applies_filters_in_order(spark, rows):
     assert all(got[g] in best[g] for g in best)
     seen = spark.createDataFrame([("one", 0)], "group string, item int")
     assert c.choose(df, 1, seen=seen, penalty=1.3).count() == 4
+
+
+def test_null_and_nan_scores_are_never_candidates(spark):
+    rows = [("a", i, float(i % 40)) for i in range(60)] + [("a", 100 + i, None) for i in range(9)] + [("a", 200 + i, float("nan")) for i in range(9)]
+    rows += [(None, i, float(i)) for i in range(5)] + [("z", 1, None)]
+    df = frame(spark, rows)
+    real = {(g, i) for g, i, s in rows if s is not None and s == s}
+    assert {(r.group, r.item) for r in c.top_k(df, 1_000).collect()} == {(r.group, r.item) for r in c.top_k(df, 1_001).collect()} == real
+    assert {(r.group, r.item) for r in c.argmax(df).collect()} == {("a", 39), (None, 4)}
+    soft = c.softmax(df).collect()
+    assert len(soft) == len(rows) and abs(sum(r.prob for r in soft if r.prob is not None) - 2) < 1e-9
+    assert {(r.group, r.item) for r in c.nucleus(df, 0.999999).collect()} <= real
+    assert {r.group for r in c.pick(c.softmax(df), 1).collect()} == {"a", None}
+
+
+@pytest.mark.parametrize("k", [1, 7, 30])
+def test_top_k_is_the_same_by_either_way(spark, rows, monkeypatch, k):
+    df = frame(spark, rows)
+    got = []
+    for limit in (1_000, 0):
+        monkeypatch.setattr(c, "GROUP_LIMIT", limit)
+        got.append(sorted(map(tuple, c.top_k(df, k, rows_per_range=11).collect())))
+    assert got[0] == got[1]
+
+
+def test_probabilities_do_not_depend_on_partitions(spark, rows):
+    def probs(parts, **skew):
+        return sorted((r.group, r.item, r.prob) for r in c.softmax(frame(spark, [(g, i, s / 7 + i * 1e-3) for g, i, s in rows], parts), **skew).collect())
+    assert probs(1) == probs(4) == probs(17) == probs(5, min_hot_rows=50)
+
+
+def test_softmax_moves_ordinary_groups_once(spark, rows):
+    plan = c.softmax(spark.createDataFrame(rows, "group string, item int, score double"))
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Exchange hashpartitioning") <= 2

@@ -4,6 +4,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from quern import catalog
 from quern.plans import prefix, skew
 from tools.check import TABLES, digest
 
@@ -26,7 +27,7 @@ def test_entry(spark):
     assert df.columns == ["split", "n_docs", "n_tokens"] and df.count() == 2
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(catalog.ORACLES))
 def test_query_equals_sql(spark, con, sf, name):
     df = entry.queries()[name](spark, sf)
     got = [tuple(r) for r in df.collect()]
@@ -45,4 +46,12 @@ def test_many_ranges_and_hot_keys_change_nothing(spark, con, sf, name, monkeypat
 
 
 def test_every_sql_has_a_query():
-    assert set(entry.oracle_sql()) == set(entry.queries())
+    assert set(catalog.ORACLES) == set(catalog.QUERIES) and set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_a_vocabulary_is_kept_by_content(spark, tmp_path):
+    for i, text in enumerate(("zx zx zx", "ab ab ab")):
+        folder = tmp_path / str(i) / "sf9"
+        spark.createDataFrame([(1, text, "en", "s", 8)], "doc_id bigint, text string, lang string, source string, n_chars bigint") \
+            .write.parquet(f"{folder}/documents.parquet")
+        assert catalog.vocabulary(spark, str(folder)).tokens[257] == text[:2]

@@ -79,3 +79,8 @@ def test_resume(spark, ranges):
     left = [i for i in range(100) if i % 3]
     for target, want in ((50, left[:16]), (34, []), (10, []), (1000, left)):
         assert sorted(r.plan_id for r in d.remaining(plan, done, target, **ranges).collect()) == want
+
+
+def test_a_header_may_be_called_as_it_is(spark):
+    df = spark.createDataFrame([(429, None, "7"), (429, None, "soon")], "status int, text string, `retry-after` string")
+    assert [r.cooldown_s for r in d.triage(df, retry_after="retry-after").collect()] == [7, 60]

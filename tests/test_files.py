@@ -67,7 +67,9 @@ def chunks(spark):
 def test_token_sink(spark, chunks):
     path = fresh_path(spark, "tokens")
     assert sinks.write_tokens(chunks, path, "abc") is True
-    assert sinks.write_tokens(chunks, path) is False
+    assert sinks.write_tokens(chunks, path) is False and sinks.write_tokens(chunks, path, "abc") is False
+    with pytest.raises(ValueError, match="not abd"):
+        sinks.write_tokens(chunks, path, "abd")
     back = spark.read.parquet(path)
     assert back.count() == chunks.count() and {r.vocabulary for r in back.select("vocabulary").distinct().collect()} == {"abc"}
     assert back.select("split", "chunk_id", "tokens").exceptAll(chunks).count() == 0
@@ -93,7 +95,10 @@ def test_u16_shards_are_the_stream(spark, chunks, tmp_path):
         assert np.concatenate([np.fromfile(r.path, dtype="<u2") for r in mine]).tolist() == want
     back = {(r.split, r.shard_id): r.tokens for r in sinks.read_u16(spark, path).collect()}
     assert all(back[(r.split, r.shard_id)] == flat[r.split][r.start: r.start + r.n_tokens] for r in manifest)
-    assert not [f for f in os.listdir(tmp_path / "shards") if "part" in f]
+    # A second, smaller export is the only one readers see.
+    sinks.export_u16(chunks.where("split = 'train'").limit(3), path, 16, 8)
+    again = sinks.read_u16(spark, path).collect()
+    assert {r.split for r in again} == {"train"} and sum(r.n_tokens for r in again) <= 48
 
 
 def test_u16_refuses_wide_ids(spark, tmp_path):
@@ -112,7 +117,17 @@ def test_retention(spark):
     assert plan == {names[0]: "delete", names[1]: "keep", names[2]: "keep", names[3]: "delete", "ckpt_7.pt": "keep", "ckpt_9.pt": "keep"}
     for keep in (0, -1):
         assert {r.action for r in retention.retention(df, keep).collect()} == {"keep"}
-    assert {r.action for r in retention.retention(df, 100).collect()} == {"keep"}
+    for keep in (100, 1_000, 1_001):
+        assert {r.action for r in retention.retention(df, keep).collect()} == {"keep"}
+
+
+def test_retention_has_no_cap(spark, monkeypatch):
+    df = spark.range(60).select(F.format_string("p%d/ckpt_%06d.pt", F.col("id") % 2, F.col("id")).alias("path"))
+    plans = []
+    for limit in (1_000, 5):
+        monkeypatch.setattr(retention, "GROUP_LIMIT", limit)
+        plans.append(sorted(map(tuple, retention.retention(df, 12).collect())))
+    assert plans[0] == plans[1] and sum(r[-1] == "keep" for r in plans[0]) == 24
 
 
 def test_stream_equals_batch(spark, tmp_path):

@@ -1,4 +1,6 @@
 import random
+from datetime import date, timedelta
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -85,6 +87,33 @@ def test_null_keys_are_a_key_of_their_own(spark):
     assert got == want
 
 
+ODD = {
+    "null": ("bigint", [None if i % 5 == 0 else i // 2 for i in range(80)]),
+    "decimal": ("decimal(20,3)", [Decimal(i * 7 % 50) / 8 if i % 9 else None for i in range(80)]),
+    "date": ("date", [date(2020, 1, 1) + timedelta(days=i * 13 % 60) if i % 11 else None for i in range(80)]),
+    "binary": ("binary", [bytes([i % 7, 255 - i]) if i % 10 else None for i in range(80)]),
+    "nan": ("double", [float("nan") if i % 8 == 0 else float("inf") if i % 8 == 1 else (i * 3 % 40) / 7 for i in range(80)]),
+    "string": ("string", ["" if i % 6 == 0 else None if i % 6 == 1 else f"é{i * 5 % 30}" for i in range(80)]),
+    "boolean": ("boolean", [None if i % 3 == 0 else i % 2 == 0 for i in range(80)]),
+}
+
+
+@pytest.mark.parametrize("kind", sorted(ODD))
+def test_any_plain_type_orders_alike_in_one_range_or_many(spark, kind):
+    sql_type, values = ODD[kind]
+    df = spark.createDataFrame([(v, None if i % 4 == 0 else f"k{i % 3}", i, i % 13) for i, v in enumerate(values)],
+                               f"v {sql_type}, k string, i int, n int").repartition(5)
+    for order, keys in ((["v", "i"], ["k"]), (["i"], ["v"]), (["v", "i"], [])):
+        got = [{r.i: r.s for r in prefix_sum(df, {"s": F.col("n")}, order, keys, rows_per_range=n).collect()} for n in (10, 10**6)]
+        assert got[0] == got[1] and len(got[0]) == 80
+
+
+def test_group_statistics_of_hot_and_null_keys(spark, rows):
+    df = spark.createDataFrame(rows, "k string, a int, i int, v int").withColumn("k", F.when(F.col("k") != "warm", F.col("k")))
+    got = [sorted((r.i, r.top) for r in skew.with_group_stat(df, ["k"], F.max("v"), "top", hot).collect()) for hot in ([], [("hot",), (None,)])]
+    assert got[0] == got[1] and len(got[0]) == len(rows)
+
+
 def test_cut_points_are_bounded_and_spread_hot_keys(spark, rows):
     df = spark.createDataFrame(rows, "k string, a int, i int, v int")
     points = cut_points(df, ["k", "a", "i"], rows_per_range=20)
