@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quern.functions.text import STRIP_CHARS
-from quern.operators import bpe, candidates, distill, mix, pieces, retention, templates, tokens
+from quern.operators import bpe, candidates, distill, mix, pieces, prepare, retention, templates, tokens
 from quern.plans.prefix import dense_rank_from_zero
 from quern.plans.stage import content_key, cut, fresh_path, shared_dir
 from quern.session import tune
@@ -810,6 +810,99 @@ def u16_export(spark, sf_dir):
     return manifest.join(files, ["split", "shard_id"]).select("split", "shard_id", "start", "n_tokens", "tokens_md5")
 
 
+SQL_APPLY = SQL_LEARN + f""",
+      apply AS (SELECT list(symbol || pair ORDER BY rank) AS steps FROM merges),
+      code AS (SELECT piece, list_transform(string_split(list_reduce(steps,
+                 lambda t, m: replace(t, substr(m, 2, 2), substr(m, 1, 1)), sym), ''), lambda c: {sql_id("c")}) AS ids FROM bag, apply),
+      spots AS (SELECT doc_id, unnest(generate_series(1, len(pieces))) AS pos, unnest(pieces) AS piece FROM split_up),
+      coded AS (SELECT doc_id, list_append(flatten(list(ids ORDER BY pos)), 0) AS ids FROM spots JOIN code USING (piece) GROUP BY doc_id),
+      divided AS (SELECT *, len(ids) AS n, CASE WHEN (row_number() OVER (ORDER BY doc_id) - 1) % 20 = 0 THEN 'val' ELSE 'train' END AS split FROM coded),
+      placed AS (SELECT *, coalesce(sum(n) OVER (PARTITION BY split ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start
+                 FROM divided)"""
+
+
+@query("prepare_tokens", SQL_APPLY + f""",
+      kept AS (SELECT split, start, ids FROM placed, (SELECT sum(length(text)) AS chars FROM plain)
+               WHERE start < CASE split WHEN 'val' THEN chars // 100 ELSE chars // 6 END),
+      flat AS (SELECT split, start + unnest(generate_series(0, len(ids) - 1)) AS loc, unnest(ids) AS id FROM kept)
+      SELECT split, loc // {CHUNK} AS chunk_id, count(*)::INT AS n_tokens, md5(string_agg(id::VARCHAR, ',' ORDER BY loc)) AS tokens_md5
+      FROM flat GROUP BY ALL""")
+def prepare_tokens(spark, sf_dir):
+    """The whole preparation with ids of the learned vocabulary: a sixth and a hundredth of the characters as caps."""
+    docs, out = plain_documents(spark, sf_dir), fresh_path(spark, "prepared")
+    chars = docs.agg(F.sum(F.char_length("text"))).first()[0]
+    args = dict(key="doc_id", order=["doc_id"], size=CHUNK, caps={"train": chars // 6, "val": chars // 100})
+    vocab = vocabulary(spark, sf_dir)
+    if not prepare.prepare(docs, vocab, out, **args) or prepare.prepare(docs, vocab, out, **args):
+        raise RuntimeError("a token table is prepared once")
+    return spark.read.parquet(out).select("split", F.col("chunk_id").cast("bigint").alias("chunk_id"),
+                                          F.size("tokens").alias("n_tokens"), md5(joined("tokens")).alias("tokens_md5"))
+
+
+@query("validation_windows", SQL_STREAM + f""",
+      size AS (SELECT sum(n_tokens)::BIGINT AS total FROM placed WHERE split = 'val'),
+      starts AS (SELECT window_id, floor({sql_unit(str(SEED), "window_id")} * (total - {BLOCK} - 1))::BIGINT AS start
+                 FROM size, LATERAL (SELECT unnest(generate_series(0, total // {BLOCK} - 1)) AS window_id)),
+      spread AS (SELECT window_id, start, unnest(generate_series(0, {BLOCK})) AS i FROM starts),
+      run AS (SELECT window_id, spread.start, i, id FROM spread JOIN flat ON flat.split = 'val' AND flat.loc = spread.start + i)
+      SELECT window_id, start, md5(string_agg(id::VARCHAR, ',' ORDER BY i) FILTER (i < {BLOCK})) AS x_md5,
+             md5(string_agg(id::VARCHAR, ',' ORDER BY i) FILTER (i > 0)) AS y_md5 FROM run GROUP BY ALL""")
+def validation_windows(spark, sf_dir):
+    """As many random windows as would cover the validation stream once."""
+    chunks = cut(stream_chunks(spark, sf_dir).where("split = 'val'"))
+    total = chunks.agg(F.sum(F.size("tokens"))).first()[0]
+    drawn = tokens.windows(chunks, total // BLOCK, BLOCK, SEED, CHUNK, total)
+    return drawn.select("window_id", "start", md5(joined("x")).alias("x_md5"), md5(joined("y")).alias("y_md5"))
+
+
+@query("prompt_ids", SQL_LEARN + f""",
+      apply AS (SELECT list(symbol || pair ORDER BY rank) AS steps FROM merges),
+      asked AS (SELECT conv_id, turn, regexp_extract_all(trim(regexp_replace(text, '{WHITE}', ' ', 'g')), '{RE2_PIECES.replace("'", "''")}') AS pieces
+                FROM conversations),
+      spots AS (SELECT conv_id, turn, unnest(generate_series(1, len(pieces))) AS pos, unnest(pieces) AS piece FROM asked),
+      spelt AS (SELECT piece, array_to_string(list_transform(regexp_extract_all(hex(encode(piece)), '..'),
+                  lambda h: ({sql_list(pieces.BYTE_SYMBOLS)})[('0x' || h)::INT + 1]), '') AS sym FROM (SELECT DISTINCT piece FROM spots)),
+      code AS (SELECT piece, list_transform(string_split(list_reduce(steps,
+                 lambda t, m: replace(t, substr(m, 2, 2), substr(m, 1, 1)), sym), ''), lambda c: {sql_id("c")}) AS ids FROM spelt, apply)
+      SELECT conv_id, turn, (sum(len(ids)) + 1)::INT AS n_ids, md5('0,' || string_agg(array_to_string(ids, ','), ',' ORDER BY pos)) AS ids_md5
+      FROM spots JOIN code USING (piece) GROUP BY conv_id, turn""")
+def prompt_ids(spark, sf_dir):
+    """Every turn as the ids of a fresh prompt, by the vocabulary learned from documents."""
+    said = table(spark, sf_dir, "conversations").withColumn("text", F.trim(F.regexp_replace("text", r"[\p{IsWhite_Space}]+", " ")))
+    vocab = vocabulary(spark, sf_dir)
+    framed = templates.frame_prompt_ids(bpe.encode(said, vocab), vocab.eot_id)
+    return framed.select("conv_id", "turn", F.size("ids").alias("n_ids"), md5(joined("ids")).alias("ids_md5"))
+
+
+@query("jsonl_files", """
+      SELECT (row_number() OVER (ORDER BY doc_id) - 1)::BIGINT AS ord, doc_id, lang, md5(text) AS text_md5 FROM documents""")
+def jsonl_files(spark, sf_dir):
+    """Documents in the order of their lines in files that also hold blank and broken lines."""
+    path = fresh_path(spark, "lines")
+    good = F.to_json(F.struct("doc_id", "lang", "text"))
+    (spark.read.parquet(f"{sf_dir}/documents.parquet").repartitionByRange(4, "doc_id").sortWithinPartitions("doc_id")
+     .select(F.explode(F.array(good, F.lit(" "), F.concat(F.lit("{"), good), F.lit("[1]"))).alias("value")).write.text(path))
+    return jsonl.read_jsonl(spark, path, "doc_id long, lang string, text string").select("ord", "doc_id", "lang", md5("text").alias("text_md5"))
+
+
+@query("stream_lines", """
+      WITH indexed AS (SELECT doc_id, (row_number() OVER (ORDER BY doc_id % 3, doc_id) - 1)::BIGINT AS doc_index,
+                              length(text)::BIGINT AS n_tokens FROM documents WHERE text <> ''),
+      divided AS (SELECT *, CASE WHEN doc_index % 20 = 0 THEN 'val' ELSE 'train' END AS split FROM indexed)
+      SELECT doc_id, doc_index, split, n_tokens, coalesce(sum(n_tokens) OVER (PARTITION BY split ORDER BY doc_index
+             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start FROM divided""")
+def stream_lines(spark, sf_dir):
+    """Files of JSON lines that arrive one after another, numbered over three batches through the ledger."""
+    folder, out = fresh_path(spark, "arriving"), fresh_path(spark, "stream")
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    for part in range(3):
+        docs.where(F.col("doc_id") % 3 == part).coalesce(1).write.mode("append").json(folder)
+    rows = corpus_stream.open_stream(spark, folder, "doc_id long, text string", glob="*.json", files_per_batch=1)
+    sized = rows.withColumn("n_tokens", F.char_length("text").cast("bigint"))
+    corpus_stream.start_indexed(sized, out, fresh_path(spark, "offsets"), ["doc_id"]).awaitTermination()
+    return spark.read.parquet(f"{out}/docs").select("doc_id", "doc_index", "split", "n_tokens", "start")
+
+
 # --- Flagship ------------------------------------------------------------------
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
