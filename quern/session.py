@@ -8,14 +8,20 @@ MEASURED_BROADCAST = "10MB"
 
 
 def tune(spark: SparkSession) -> SparkSession:
-    """Broadcast join sides by their measured size, never by an estimate.
+    """A session beside ``spark`` that broadcasts join sides by their measured size, never by an estimate.
 
     Before a query runs, Spark guesses sizes from compressed files and would
     send a side that unfolds to many times that, such as coded texts, to every
-    task. Adaptive execution knows the true size once a side is shuffled.
+    task. Adaptive execution knows the true size once a side is shuffled. The
+    caller's settings are taken over and left as they are; tables read with the
+    returned session run with its own.
     """
-    spark.conf.set("spark.sql.adaptive.enabled", "true")
-    spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", MEASURED_BROADCAST)
-    return spark
+    own = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if spark.conf.isModifiable(key):
+            own.conf.set(key, value)
+    own.conf.set("spark.sql.adaptive.enabled", "true")
+    own.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
+    own.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    own.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", MEASURED_BROADCAST)
+    return own

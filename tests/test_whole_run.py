@@ -11,7 +11,7 @@ from quern.sources import corpus, sinks
 
 
 def test_sources_to_windows(spark, sf, tmp_path):
-    tune(spark)
+    spark = tune(spark)
     tasks = tmp_path / "tasks.jsonl"
     tasks.write_text("".join(json.dumps({"instruction": f"say {i}", "output": f"it is {i}"}) + "\n" for i in range(12)))
     entries = [
