@@ -36,7 +36,7 @@ HASHES = 3
 NEAR_MOST = 0.25
 #: ... and if it was seen so often there.
 LEAST = 3
-CHARS = 1 << 21
+CHARS = 1 << 19
 UNKNOWN = "und"
 
 _letters: list = []
@@ -116,19 +116,19 @@ class Filters:
 def gram_counts(docs: DataFrame, text: str, lang: str) -> DataFrame:
     """(lang, gram, n) over all rows, added up per batch before the shuffle."""
     def run(batch):
-        out = {"_lang": [], "_gram": [], "_n": []}
-        names = np.array(batch.column(1).to_pylist(), object)
+        names, held = np.array(batch.column(1).to_pylist(), object), {}
         for lo, hi, texts in pieces(batch, "_text"):
             rows, grams = trigrams(texts)
             own = names[lo:hi]
             for name in dict.fromkeys(own):
                 gram, n = np.unique(grams[(own == name)[rows]], return_counts=True)
-                out["_lang"].append(np.full(len(gram), name, object))
-                out["_gram"].append(gram)
-                out["_n"].append(n)
-        return pa.RecordBatch.from_arrays(
-            [pa.array(np.concatenate(out["_lang"]), pa.string()), pa.array(np.concatenate(out["_gram"]), pa.int64()),
-             pa.array(np.concatenate(out["_n"]), pa.int64())], list(out))
+                if name in held:
+                    gram, at = np.unique(np.concatenate([held[name][0], gram]), return_inverse=True)
+                    n = np.bincount(at, weights=np.concatenate([held[name][1], n])).astype(np.int64)
+                held[name] = gram, n
+        for name, (gram, n) in held.items():
+            lang = pa.DictionaryArray.from_arrays(pa.array(np.zeros(len(gram), np.int32)), pa.array([name])).cast(pa.string())
+            yield pa.RecordBatch.from_arrays([lang, pa.array(gram, pa.int64()), pa.array(n, pa.int64())], ["_lang", "_gram", "_n"])
 
     rows = common.narrow(docs, text=text, lang=lang).where(F.col("_lang").isNotNull())
     return common.map_arrow(rows, run, "_lang string, _gram bigint, _n bigint").groupBy("_lang", "_gram").agg(F.sum("_n").alias("_n"))
