@@ -4,7 +4,8 @@ Unit vectors are halved; each half has a codebook of its own, and the pairs of
 codes form a grid of cells. A vector is stored in the cell of its nearest codes
 and visits cells in multi-sequence order: by the sum of its squared distances
 to the two codes, nearest first. How many cells are visited follows from a
-target recall, measured on a bounded sample of vectors against all others.
+target recall, measured on a bounded sample of vectors against all others,
+each vector of the sample counting alike.
 Vectors that meet in a cell are compared exactly, in double precision.
 
 Equal vectors of one label are one entry with a weight, so copies cost nothing.
@@ -35,9 +36,9 @@ from quern.llm import common
 from quern.llm.components import components, roots
 
 SIMILARITY = 0.93
-TARGET_RECALL = 0.985
+TARGET_RECALL = 0.998
 SAMPLE = 20_000
-PROBES = 400
+PROBES = 1_000
 CHUNK = 512
 ROUNDS = 12
 SEED = 5
@@ -145,17 +146,23 @@ def _fit(distinct: DataFrame, target: float) -> Grid | None:
         near = (probes @ rows.T >= SIMILARITY) & (probe_labels[:, None] == batch.column(1).to_numpy()[None, :])
         found, cells = [], own.cells(rows)
         for i in np.flatnonzero(near.any(1)):
-            found.append(own.ranks(probes[i], cells[near[i]]))
-        rank, n = np.unique(np.concatenate(found) if found else np.zeros(0, np.int64), return_counts=True)
-        return pa.RecordBatch.from_arrays([pa.array(rank), pa.array(n)], ["rank", "n"])
-
-    found = (common.map_arrow(distinct.select("vec", F.col("label").cast("bigint").alias("label")), run, "rank bigint, n bigint")
-             .groupBy("rank").agg(F.sum("n")).orderBy("rank").collect())
-    total, reached = sum(r[1] for r in found), 0
-    for rank, n in found:
-        reached += n
+            rank, n = np.unique(own.ranks(probes[i], cells[near[i]]), return_counts=True)
+            found += [(int(i), int(r), int(c)) for r, c in zip(rank, n)]
+        return pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.int64()) for k in range(3)], ["probe", "rank", "n"])
+
+    rows = (common.map_arrow(distinct.select("vec", F.col("label").cast("bigint").alias("label")), run, "probe bigint, rank bigint, n bigint")
+            .groupBy("probe", "rank").agg(F.sum("n")).collect())  # a probe's ranks: cells at most
+    # Every probe counts alike, however many neighbours it has; its own entry is none.
+    total, reached = {}, {}
+    for probe, rank, n in rows:
+        n -= rank == 1
+        total[probe] = total.get(probe, 0) + n
+        reached[rank] = reached.get(rank, []) + [(probe, n)]
+    some, recall = max(1, sum(t > 0 for t in total.values())), 0.0
+    for rank in sorted(reached):
+        recall += sum(n / total[probe] for probe, n in reached[rank] if n) / some
         grid.visits = int(rank)
-        if reached >= target * total:
+        if recall >= target - 1e-9:
             break
     return grid
 
