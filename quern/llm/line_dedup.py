@@ -172,7 +172,7 @@ def _routed(docs: DataFrame, rare: DataFrame, text: str, doc_id: str, min_chars:
                     if lost.any():
                         yield pa.RecordBatch.from_arrays([pa.array(ids[lost]), pa.array(prints[lost])], ["_id", "_print"])
 
-    out = streams.mapInArrow(run, "_id bigint, _print bigint")
+    out = streams.mapInArrow(common.tidy(run), "_id bigint, _print bigint")
     return out.groupBy("_id").agg(F.collect_set("_print").alias("_lost"))
 
 
@@ -226,7 +226,7 @@ def dedup_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", min
                 [result[f.name] if f.name in result else batch.column(batch.schema.get_field_index(f.name)) for f in schema.fields],
                 [f.name for f in schema.fields])
 
-    return base.mapInArrow(run, schema)
+    return base.mapInArrow(common.tidy(run), schema)
 
 
 def digests(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", **settings) -> DataFrame:

@@ -92,7 +92,7 @@ def _symbols(docs: DataFrame, size: int) -> DataFrame:
                     key, n = np.unique(piece.elected, return_counts=True)
                     yield pa.RecordBatch.from_arrays([pa.array(common.signed(key)), pa.array(n.astype(np.int32))], ["key", "n"])
 
-    return docs.mapInArrow(run, "key bigint, n int")
+    return docs.mapInArrow(common.tidy(run), "key bigint, n int")
 
 
 def _bitmap(symbols: DataFrame) -> np.ndarray:
@@ -132,7 +132,7 @@ def _blocks(docs: DataFrame, text: str, size: int, marks, buckets: int) -> DataF
                 yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], kind) for i, kind in
                                                   enumerate((pa.int32(), pa.int64(), pa.int64(), pa.binary()))], ["kind", "block", "bucket", "data"])
 
-    return docs.mapInArrow(run, "kind int, block bigint, bucket bigint, data binary")
+    return docs.mapInArrow(common.tidy(run), "kind int, block bigint, bucket bigint, data binary")
 
 
 ENTRY = np.dtype([("first", "<u8"), ("second", "<u4"), ("at", "<u4")])
@@ -220,6 +220,7 @@ def dedup_passages(docs: DataFrame, text: str = "text", size: int = SIZE) -> Dat
             removed.append(int(lost.sum()))
             new.append(b" ".join(w for w, x in zip(words, lost) if not x).decode() if removed[-1] else old.as_py())
         made = {text: pa.array(new, texts.type), "n_words": pa.array([len(s) for s in split], pa.int64()), "n_removed": pa.array(removed, pa.int64())}
+        common.give_back()
         return pa.table({f.name: made.get(f.name, table[f.name] if f.name in table.column_names else None) for f in schema.fields})
 
     return rows.groupBy("block").applyInArrow(finish, schema)
