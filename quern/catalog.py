@@ -99,7 +99,7 @@ def sql_mix(weights: dict[str, float]) -> str:
                         lang, doc_id, text FROM drawn WHERE text <> '')"""
 
 
-SQL_CODED = """
+SQL_CHARS = """
       WITH indexed AS (
         SELECT (row_number() OVER (ORDER BY doc_id) - 1)::BIGINT AS doc_index, doc_id, text,
                length(text)::BIGINT + 1 AS n_tokens FROM documents WHERE text <> ''),
@@ -107,12 +107,6 @@ SQL_CODED = """
       placed AS (SELECT *, coalesce(sum(n_tokens) OVER (PARTITION BY split ORDER BY doc_index
                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start FROM divided)"""
 
-# Stand-in tokens the SQL side can make too: code points, with 0 ending a document.
-SQL_STREAM = SQL_CODED + """,
-      coded AS (SELECT split, start, list_append(list_transform(string_split(text, ''), lambda c: unicode(c)::INT), 0) AS ids
-                FROM placed),
-      flat AS (SELECT split, start + unnest(generate_series(0, len(ids) - 1)) AS loc, unnest(ids) AS id FROM coded)"""
-
 SQL_SCORES = """
       scores AS (SELECT l_suppkey AS "group", l_partkey AS item, max(l_extendedprice) / 10000.0 - 3.0 AS score
                  FROM lineitem GROUP BY ALL)"""
@@ -202,25 +196,19 @@ def by_language(spark, sf_dir) -> DataFrame:
         F.col("lang").alias("source_id"), F.col("doc_id").alias("ord"), "text")
 
 
-def coded(spark, sf_dir) -> DataFrame:
-    """Documents indexed and split; stand-in tokens are code points, 0 ends a document."""
-    docs = sized(spark, sf_dir).where("text <> ''").select("doc_id", "n_tokens")
-    return tokens.split(dense_rank_from_zero(docs, "doc_index", ["doc_id"]))
-
-
-def sized(spark, sf_dir) -> DataFrame:
-    return table(spark, sf_dir, "documents").withColumn("n_tokens", (F.char_length("text") + 1).cast("bigint"))
+def held_ids(spark, sf_dir) -> DataFrame:
+    """Documents indexed, split and coded by the learned vocabulary, written once."""
+    return prepare.coded(plain_documents(spark, sf_dir), vocabulary(spark, sf_dir), "doc_id", ["doc_id"])
 
 
-def code_points() -> Column:
-    return F.transform(F.split("text", ""), lambda c: F.ascii(c))
+def coded(spark, sf_dir) -> DataFrame:
+    return held_ids(spark, sf_dir).drop("ids")
 
 
 def stream_chunks(spark, sf_dir) -> DataFrame:
-    docs = sized(spark, sf_dir).where("text <> ''")
-    placed = tokens.lay_out(docs, "doc_id", ["doc_id"])
-    ids = bpe.with_eot(docs.select("doc_id", code_points().alias("ids")), 0)
-    return tokens.chunk(ids.join(placed, "doc_id"), CHUNK)
+    held = held_ids(spark, sf_dir)
+    placed = tokens.offsets(held.select("doc_id", "doc_index", "split", "n_tokens"))
+    return tokens.chunk(held.select("doc_id", "ids").join(placed.select("doc_id", "split", "start"), "doc_id"), CHUNK)
 
 
 def scores(spark, sf_dir, value: Column | None = None) -> DataFrame:
@@ -334,7 +322,7 @@ def synthetic_corpus(spark, sf_dir):
     return corpus.synthetic(table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id")))
 
 
-@query("stream_corpus", SQL_CODED + " SELECT doc_id, doc_index, split, n_tokens, start FROM placed")
+@query("stream_corpus", SQL_CHARS + " SELECT doc_id, doc_index, split, n_tokens, start FROM placed")
 def stream_corpus(spark, sf_dir):
     """The folder's documents as a stream, indexed batch by batch, read back."""
     schema = table(spark, sf_dir, "documents").schema
@@ -537,11 +525,27 @@ def bpe_encode(spark, sf_dir):
     return coded_docs.select("doc_id", F.size("ids").alias("n_ids"), md5(joined("ids")).alias("ids_md5"))
 
 
-@query("append_eot", """
-      SELECT doc_id, length(text)::INT + 1 AS n_ids, 0::INT AS last_id,
-             md5(array_to_string(list_transform(string_split(text, ''), lambda c: unicode(c)), ',') || ',0') AS ids_md5 FROM documents""")
+# Every document as the ids of the learned vocabulary, 0 ending it; where it stands in its split's stream.
+SQL_CODED = SQL_LEARN + f""",
+      apply AS (SELECT list(symbol || pair ORDER BY rank) AS steps FROM merges),
+      code AS (SELECT piece, list_transform(string_split(list_reduce(steps,
+                 lambda t, m: replace(t, substr(m, 2, 2), substr(m, 1, 1)), sym), ''), lambda c: {sql_id("c")}) AS ids FROM bag, apply),
+      spots AS (SELECT doc_id, unnest(generate_series(1, len(pieces))) AS pos, unnest(pieces) AS piece FROM split_up),
+      coded AS (SELECT doc_id, list_append(flatten(list(ids ORDER BY pos)), 0) AS ids FROM spots JOIN code USING (piece) GROUP BY doc_id),
+      indexed AS (SELECT (row_number() OVER (ORDER BY doc_id) - 1)::BIGINT AS doc_index, doc_id, ids, len(ids)::BIGINT AS n_tokens FROM coded),
+      divided AS (SELECT *, CASE WHEN doc_index % 20 = 0 THEN 'val' ELSE 'train' END AS split FROM indexed),
+      placed AS (SELECT *, coalesce(sum(n_tokens) OVER (PARTITION BY split ORDER BY doc_index
+                   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start FROM divided)"""
+
+SQL_STREAM = SQL_CODED + """,
+      flat AS (SELECT split, start + unnest(generate_series(0, len(ids) - 1)) AS loc, unnest(ids) AS id FROM placed)"""
+
+
+@query("append_eot", SQL_CODED + """
+      SELECT doc_id, len(ids)::INT AS n_ids, ids[-1]::INT AS last_id, md5(array_to_string(ids, ',')) AS ids_md5 FROM coded""")
 def append_eot(spark, sf_dir):
-    docs = bpe.with_eot(table(spark, sf_dir, "documents").withColumn("ids", code_points()), 0)
+    vocab = vocabulary(spark, sf_dir)
+    docs = bpe.with_eot(bpe.encode(plain_documents(spark, sf_dir), vocab), vocab.eot_id)
     return docs.select("doc_id", F.size("ids").alias("n_ids"), F.get("ids", F.size("ids") - 1).alias("last_id"),
                        md5(joined("ids")).alias("ids_md5"))
 
@@ -586,7 +590,7 @@ def split_docs(spark, sf_dir):
 def token_budget(spark, sf_dir):
     """A third of all tokens for training, a fiftieth for validation."""
     docs = coded(spark, sf_dir)
-    total = table(spark, sf_dir, "documents").where("text <> ''").agg(F.sum(F.char_length("text") + 1)).first()[0]
+    total = docs.agg(F.sum("n_tokens")).first()[0]
     return tokens.cap(docs, {"train": total // 3, "val": total // 50}).select("doc_id", "split", "before")
 
 
@@ -595,12 +599,11 @@ def token_offsets(spark, sf_dir):
     return tokens.offsets(coded(spark, sf_dir)).select("doc_id", "split", "start")
 
 
-@query("token_range_check", """
-      SELECT doc_id, max_id FROM (SELECT doc_id, list_max(list_transform(string_split(text, ''), lambda c: unicode(c) * 270))::INT AS max_id
-      FROM documents) WHERE max_id > 65535""")
+@query("token_range_check", SQL_CODED + """
+      SELECT doc_id, max_id FROM (SELECT doc_id, (list_max(ids) * 180)::INT AS max_id FROM coded) WHERE max_id > 65535""")
 def token_range_check(spark, sf_dir):
-    """Code points stretched so that accented letters from 243 on leave 16 bits."""
-    docs = table(spark, sf_dir, "documents").withColumn("ids", F.transform(code_points(), lambda c: c * 270))
+    """Ids stretched so that the later merges leave 16 bits."""
+    docs = held_ids(spark, sf_dir).withColumn("ids", F.transform("ids", lambda i: i * 180))
     return tokens.check_u16(docs).select("doc_id", F.array_max("ids").alias("max_id"))
 
 
@@ -707,6 +710,15 @@ def corpus_report(spark, sf_dir):
     return distill.corpus_report(distill.dry_run(assigned(spark, sf_dir)).withColumn("teacher", F.col("model")))
 
 
+@query("corpus_report_texts", """
+      SELECT lang AS recipe, source AS teacher, grouping(lang, source)::INT AS level, count(*) AS n_docs, sum(length(text))::BIGINT AS n_chars,
+             (sum(length(text)) // count(*))::BIGINT AS mean_chars, (sum(length(text)) // 4)::BIGINT AS est_tokens
+      FROM documents GROUP BY ROLLUP (lang, source)""")
+def corpus_report_texts(spark, sf_dir):
+    """The report over documents, a language as recipe and a source as teacher."""
+    return distill.corpus_report(table(spark, sf_dir, "documents").withColumnsRenamed({"lang": "recipe", "source": "teacher"}))
+
+
 # --- Candidate filters ---------------------------------------------------------
 
 @query("penalise_seen", f"""
@@ -787,6 +799,17 @@ def jsonl_sink(spark, sf_dir):
     return back.select(md5("text").alias("text_md5"), "recipe", "teacher")
 
 
+@query("jsonl_sink_texts", """
+      SELECT doc_id, lang, CASE WHEN doc_id % 3 > 0 THEN source END AS source, md5(text) AS text_md5 FROM documents""")
+def jsonl_sink_texts(spark, sf_dir):
+    """Documents written as lines, some fields null, and read back."""
+    path = fresh_path(spark, "corpus")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", F.when(F.col("doc_id") % 3 > 0, F.col("source")).alias("source"), "text")
+    jsonl.write_jsonl(docs, path)
+    back = jsonl.parse_jsonl(spark.read.text(path), "doc_id long, lang string, source string, text string")
+    return back.select("doc_id", "lang", "source", md5("text").alias("text_md5"))
+
+
 @query("token_sink", SQL_STREAM + f"""
       SELECT split, loc // {CHUNK} AS chunk_id, count(*)::INT AS n_tokens, md5(string_agg(id::VARCHAR, ',' ORDER BY loc)) AS tokens_md5
       FROM flat GROUP BY ALL""")
@@ -810,18 +833,7 @@ def u16_export(spark, sf_dir):
     return manifest.join(files, ["split", "shard_id"]).select("split", "shard_id", "start", "n_tokens", "tokens_md5")
 
 
-SQL_APPLY = SQL_LEARN + f""",
-      apply AS (SELECT list(symbol || pair ORDER BY rank) AS steps FROM merges),
-      code AS (SELECT piece, list_transform(string_split(list_reduce(steps,
-                 lambda t, m: replace(t, substr(m, 2, 2), substr(m, 1, 1)), sym), ''), lambda c: {sql_id("c")}) AS ids FROM bag, apply),
-      spots AS (SELECT doc_id, unnest(generate_series(1, len(pieces))) AS pos, unnest(pieces) AS piece FROM split_up),
-      coded AS (SELECT doc_id, list_append(flatten(list(ids ORDER BY pos)), 0) AS ids FROM spots JOIN code USING (piece) GROUP BY doc_id),
-      divided AS (SELECT *, len(ids) AS n, CASE WHEN (row_number() OVER (ORDER BY doc_id) - 1) % 20 = 0 THEN 'val' ELSE 'train' END AS split FROM coded),
-      placed AS (SELECT *, coalesce(sum(n) OVER (PARTITION BY split ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start
-                 FROM divided)"""
-
-
-@query("prepare_tokens", SQL_APPLY + f""",
+@query("prepare_tokens", SQL_CODED + f""",
       kept AS (SELECT split, start, ids FROM placed, (SELECT sum(length(text)) AS chars FROM plain)
                WHERE start < CASE split WHEN 'val' THEN chars // 100 ELSE chars // 6 END),
       flat AS (SELECT split, start + unnest(generate_series(0, len(ids) - 1)) AS loc, unnest(ids) AS id FROM kept)
