@@ -19,6 +19,7 @@ result are replaced, all others are passed through.
 from __future__ import annotations
 
 import base64
+import hashlib
 import re
 
 import numpy as np
@@ -83,28 +84,37 @@ def encode_text(encoding, text: str) -> list[int]:
     return ids
 
 
-def _columns(batch: pa.RecordBatch, name: str, schema: T.StructType, lo: int, hi: int, values: pa.Array):
-    cols = [values if f.name == name else batch.column(batch.schema.get_field_index(f.name)).slice(lo, hi - lo)
+def _columns(batch: pa.RecordBatch, made: dict[str, pa.Array], schema: T.StructType, lo: int, hi: int):
+    cols = [made[f.name] if f.name in made else batch.column(batch.schema.get_field_index(f.name)).slice(lo, hi - lo)
             for f in schema.fields]
     return pa.RecordBatch.from_arrays(cols, [f.name for f in schema.fields])
 
 
-def encode(df: DataFrame, rank_file: str, pattern: str, text: str = "text", out: str = "ids") -> DataFrame:
-    """``df`` with ``out``: the ids of ``text``, without special tokens, as tiktoken gives them."""
-    base = common.without(df, [out])
-    schema = T.StructType([*base.schema.fields, T.StructField(out, T.ArrayType(T.IntegerType(), False), False)])
+def encode(df: DataFrame, rank_file: str, pattern: str, text: str = "text", out: str = "ids", digest: str | None = None) -> DataFrame:
+    """``df`` with ``out``: the ids of ``text``, without special tokens, as tiktoken gives them.
+
+    With ``digest`` also the SHA-256 of the bytes that the ids decode to, found
+    in the same pass by the same worker.
+    """
+    base = common.without(df, [out] + ([digest] if digest else []))
+    schema = T.StructType([*base.schema.fields, T.StructField(out, T.ArrayType(T.IntegerType(), False), False),
+                           *([T.StructField(digest, T.StringType(), False)] if digest else [])])
 
     def run(batch):
-        encoding, offsets, parts, lo = coder(rank_file, pattern), [0], [], 0
+        encoding, offsets, parts, sums, lo = coder(rank_file, pattern), [0], [], [], 0
         texts = batch.column(batch.schema.get_field_index(text))
         for i in range(batch.num_rows):
-            ids = np.array(encode_text(encoding, texts[i].as_py() or ""), np.int32)
-            parts.append(ids)
+            ids = encode_text(encoding, texts[i].as_py() or "")
+            if digest:
+                sums.append(hashlib.sha256(encoding.decode_bytes(ids)).hexdigest())
+            parts.append(np.array(ids, np.int32))
             offsets.append(offsets[-1] + len(ids))
             if offsets[-1] >= BATCH_IDS or i == batch.num_rows - 1:
-                values = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate(parts)))
-                yield _columns(batch, out, schema, lo, i + 1, values)
-                offsets, parts, lo = [0], [], i + 1
+                made = {out: pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate(parts)))}
+                if digest:
+                    made[digest] = pa.array(sums, pa.string())
+                yield _columns(batch, made, schema, lo, i + 1)
+                offsets, parts, sums, lo = [0], [], [], i + 1
 
     return common.map_arrow(base, run, schema)
 
@@ -122,7 +132,7 @@ def decode(df: DataFrame, rank_file: str, pattern: str, ids: str = "ids", out: s
             made.append(encoding.decode_bytes(one.values.to_pylist()) if one.is_valid else None)
             size += len(made[-1] or b"")
             if size >= 4 * BATCH_IDS or i == batch.num_rows - 1:
-                yield _columns(batch, out, schema, lo, i + 1, pa.array(made, pa.binary()))
+                yield _columns(batch, {out: pa.array(made, pa.binary())}, schema, lo, i + 1)
                 made, size, lo = [], 0, i + 1
 
     return common.map_arrow(base, run, schema)

@@ -329,6 +329,8 @@ def test_bytes_of_edge_rows(docs, none):
     out = bpe_files.decode(bpe_files.encode(docs, RANKS, PATTERN), RANKS, PATTERN)
     assert sorted(out.columns) == sorted(docs.columns)
     assert all(bytes(r.bytes).decode() == (r.text or "") for r in out.collect())
+    once = bpe_files.encode(docs, RANKS, PATTERN, digest="kept")
+    assert all(r.kept == hashlib.sha256((r.text or "").encode()).hexdigest() for r in once.collect())
     assert bpe_files.digests(none, RANKS, PATTERN).collect() == [] and bpe_files.digests(docs, RANKS, PATTERN).count() == docs.count()
 
 
