@@ -4,13 +4,16 @@ Unit vectors are halved; each half has a codebook of its own, and the pairs of
 codes form a grid of cells. A vector is stored in the cell of its nearest codes
 and visits cells in multi-sequence order: by the sum of its squared distances
 to the two codes, nearest first. How many cells are visited follows from a
-target recall, measured on a bounded sample of vectors against all others,
-each vector of the sample counting alike.
+target recall, measured on probes against all others, each linked probe counting
+alike. Probes are drawn by hash until LINKED of them have a link or all entries
+are probes. If MOST probes do not hold that many, nothing is measured: each
+vector then visits every cell that can hold a vector of cosine SIMILARITY to it,
+by its distance to the cell's borders, and no link is lost.
 Vectors that meet in a cell are compared exactly, in double precision.
 
 Equal vectors of one label are one entry with a weight, so copies cost nothing.
-Only the codebooks (fitted on SAMPLE vectors) and the measured sample (PROBES
-vectors) reach the driver; every vector is indexed. Cells of any size are cut
+Only the codebooks (fitted on SAMPLE vectors) and the probes (at most ROUND at a
+time) reach the driver; every vector is indexed. Cells of any size are cut
 into chunks of CHUNK entries that are compared chunk against chunk, so no group
 is large; a chunk's output is a count per vector and a spanning forest, not its
 pairs. A pair that both vectors would find is counted once for each of them,
@@ -38,7 +41,11 @@ from quern.llm.components import components, roots
 SIMILARITY = 0.93
 TARGET_RECALL = 0.998
 SAMPLE = 20_000
+#: Probes of the first round and of each one after it, linked ones needed, and all that are drawn (about).
 PROBES = 1_000
+ROUND = 8_000
+LINKED = 500
+MOST = 65_536
 CHUNK = 512
 ROUNDS = 12
 SEED = 5
@@ -62,6 +69,16 @@ def distances(half: np.ndarray, centres: np.ndarray) -> np.ndarray:
     return np.maximum((half * half).sum(1)[:, None] - 2 * half @ centres.T + (centres * centres).sum(1)[None, :], 0)
 
 
+def borders(near: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    """From squared distances to the centres, squared distances at least to what each centre is the nearest of."""
+    least = np.zeros_like(near)
+    for a in range(len(centres)):
+        gap = np.sqrt(((centres - centres[a]) ** 2).sum(1))
+        gap[gap < 1e-6] = np.inf  # no border between centres that rounding cannot tell apart
+        np.maximum(least, (near - near[:, a:a + 1]) / (2 * gap), out=least)
+    return least * least
+
+
 def sequence(first: np.ndarray, second: np.ndarray, n: int) -> list[tuple[float, int]]:
     """The n cells with the smallest sums of the two distances, nearest first, as (sum, cell)."""
     a, b = np.argsort(first, kind="stable"), np.argsort(second, kind="stable")
@@ -105,7 +122,7 @@ def entries(vectors: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 class Grid:
-    """Two codebooks and the number of cells that each vector visits."""
+    """Two codebooks and the number of cells that each vector visits, 0 for all that can hold a link."""
 
     def __init__(self, first: np.ndarray, second: np.ndarray, width: int, visits: int = 1):
         self.first, self.second, self.width, self.visits = first, second, width, visits
@@ -118,6 +135,12 @@ class Grid:
         a, b = self.halves(rows)
         return a.argmin(1) * len(self.second) + b.argmin(1)
 
+    def reachable(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(row, cell) of all cells that can hold a vector of cosine SIMILARITY to the row."""
+        a, b = (borders(d, c) for d, c in zip(self.halves(rows), (self.first, self.second)))
+        near = a[:, :, None] + b[:, None, :] <= 2 * (1 - SIMILARITY) + 1e-6
+        return np.nonzero(near.reshape(len(rows), len(self.first) * len(self.second)))
+
     def ranks(self, probe: np.ndarray, cells: np.ndarray) -> np.ndarray:
         """How many cells a probe visits until it reaches each of the given ones."""
         a, b = (x[0] for x in self.halves(probe[None, :]))
@@ -137,34 +160,50 @@ def _fit(distinct: DataFrame, target: float) -> Grid | None:
     k = int(min(512, 2 ** max(1, round(np.log2(max(n, 2)) / 4))))
     rng = np.random.default_rng(SEED)
     grid = Grid(codebook(sample[:, :width // 2], k, rng), codebook(sample[:, width // 2:], k, rng), width)
-    labels = picked["label"].to_numpy()[:PROBES]
-    shared = distinct.sparkSession.sparkContext.broadcast((grid, sample[:PROBES], labels))
+    found, total, lo, hi = [], {}, 0, PROBES
+    while lo < min(n, MOST) and len(total) < LINKED:
+        # In order of hash, as the sample; the rounds cut the range of hashes.
+        low, high = (min(x, n) * (1 << 64) // n - (1 << 63) for x in (lo, hi))
+        drawn = distinct.where(F.xxhash64("eid", F.lit(SEED)).between(low, high - 1)).select("eid", "label", "vec").toArrow()
+        for probe, rank, count in _ranks(distinct, grid, drawn):
+            found.append((rank, (lo, probe), count))
+            total[lo, probe] = total.get((lo, probe), 0) + count
+        lo, hi = hi, hi + ROUND
+    if len(total) < LINKED and lo < n:
+        grid.visits = 0
+        return grid
+    # Every linked probe counts alike, however many neighbours it has.
+    recall = 0.0
+    for rank, probe, count in sorted(found):
+        if rank > grid.visits and recall >= target - 1e-9:
+            break
+        recall += count / total[probe] / len(total)
+        grid.visits = int(rank)
+    return grid
+
+
+def _ranks(distinct: DataFrame, grid: Grid, drawn: pa.Table) -> list[tuple[int, int, int]]:
+    """(probe, rank, n): entries linked to each drawn one, by how many cells it visits until it reaches them."""
+    if not drawn.num_rows:
+        return []
+    probes = unit(matrix(drawn["vec"].combine_chunks(), grid.width))
+    shared = distinct.sparkSession.sparkContext.broadcast((grid, probes, drawn["label"].to_numpy(), drawn["eid"].to_numpy()))
 
     def run(batch):
-        own, probes, probe_labels = shared.value
-        rows = unit(matrix(batch.column(0), own.width))
-        near = (probes @ rows.T >= SIMILARITY) & (probe_labels[:, None] == batch.column(1).to_numpy()[None, :])
+        own, probes, labels, eids = shared.value
+        rows, label, eid = unit(matrix(batch.column(0), own.width)), batch.column(1).to_numpy(), batch.column(2).to_numpy()
         found, cells = [], own.cells(rows)
-        for i in np.flatnonzero(near.any(1)):
-            rank, n = np.unique(own.ranks(probes[i], cells[near[i]]), return_counts=True)
-            found += [(int(i), int(r), int(c)) for r, c in zip(rank, n)]
+        for lo in range(0, len(probes), 1024):
+            part = slice(lo, lo + 1024)
+            near = (probes[part] @ rows.T >= SIMILARITY) & (labels[part, None] == label[None, :]) & (eids[part, None] != eid[None, :])
+            for i in np.flatnonzero(near.any(1)):
+                rank, n = np.unique(own.ranks(probes[lo + i], cells[near[i]]), return_counts=True)
+                found += [(int(lo + i), int(r), int(c)) for r, c in zip(rank, n)]
         return pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.int64()) for k in range(3)], ["probe", "rank", "n"])
 
-    rows = (common.map_arrow(distinct.select("vec", F.col("label").cast("bigint").alias("label")), run, "probe bigint, rank bigint, n bigint")
-            .groupBy("probe", "rank").agg(F.sum("n")).collect())  # a probe's ranks: cells at most
-    # Every probe counts alike, however many neighbours it has; its own entry is none.
-    total, reached = {}, {}
-    for probe, rank, n in rows:
-        n -= rank == 1
-        total[probe] = total.get(probe, 0) + n
-        reached[rank] = reached.get(rank, []) + [(probe, n)]
-    some, recall = max(1, sum(t > 0 for t in total.values())), 0.0
-    for rank in sorted(reached):
-        recall += sum(n / total[probe] for probe, n in reached[rank] if n) / some
-        grid.visits = int(rank)
-        if recall >= target - 1e-9:
-            break
-    return grid
+    rows = distinct.select("vec", F.col("label").cast("bigint").alias("label"), "eid")
+    return [tuple(r) for r in common.map_arrow(rows, run, "probe bigint, rank bigint, n bigint")
+            .groupBy("probe", "rank").agg(F.sum("n")).collect()]  # a probe's ranks: cells at most
 
 
 def _visits(distinct: DataFrame, grid: Grid) -> DataFrame:
@@ -173,18 +212,26 @@ def _visits(distinct: DataFrame, grid: Grid) -> DataFrame:
 
     def run(batch):
         own = shared.value
-        for lo in range(0, batch.num_rows, 2048):
-            part = batch.slice(lo, 2048)
+        step = 2048 if own.visits else max(1, min(2048, (1 << 22) // (len(own.first) * len(own.second))))
+        most = max(1, (1 << 22) // own.width)
+        for lo in range(0, batch.num_rows, step):
+            part = batch.slice(lo, step)
             rows = unit(matrix(part.column(2), own.width))
             a, b = own.halves(rows)
             home = a.argmin(1) * len(own.second) + b.argmin(1)
-            at, cell, reach = [], [], np.empty(len(rows))
-            for i in range(len(rows)):
-                order = sequence(a[i], b[i], own.visits)
-                reach[i] = order[-1][0]
-                at += [i] * len(order)
-                cell += [c for _, c in order]
-            for kind, index, cells in ((0, np.arange(len(rows)), home), (1, np.array(at), np.array(cell, np.int64))):
+            if own.visits:
+                at, cell, reach = [], [], np.empty(len(rows))
+                for i in range(len(rows)):
+                    order = sequence(a[i], b[i], own.visits)
+                    reach[i] = order[-1][0]
+                    at += [i] * len(order)
+                    cell += [c for _, c in order]
+                at, cell = np.array(at), np.array(cell, np.int64)
+            else:  # of two cells that can reach each other, the first one's entries visit the second
+                at, cell = own.reachable(rows)
+                at, cell, reach = at[cell >= home[at]], cell[cell >= home[at]], np.full(len(rows), np.inf)
+            made = [(0, np.arange(len(rows)), home)] + [(1, at[i:i + most], cell[i:i + most]) for i in range(0, len(at), most)]
+            for kind, index, cells in made:
                 flat = pa.ListArray.from_arrays(pa.array(np.arange(0, (len(index) + 1) * own.width, own.width, dtype=np.int32)),
                                                 pa.array(rows[index].ravel()))
                 yield pa.RecordBatch.from_arrays(
@@ -219,9 +266,12 @@ def _compared(visits: DataFrame, grid: Grid) -> DataFrame:
         linked = (rows[q] @ rows[x].T >= SIMILARITY) & (eid[q][:, None] != eid[x][None, :])
         i, j = np.nonzero(linked)
         # Does the stored entry visit the visitor's home, and so count the pair there?
-        first, second = own.halves(rows[x])
-        back = first[:, home[q] // len(own.second)] + second[:, home[q] % len(own.second)]
-        once = linked & ~(back.T <= reach[x][None, :] + 1e-9)  # rounding must not hide the last cell visited
+        if own.visits:
+            first, second = own.halves(rows[x])
+            back = first[:, home[q] // len(own.second)] + second[:, home[q] % len(own.second)]
+            once = linked & ~(back.T <= reach[x][None, :] + 1e-9)  # rounding must not hide the last cell visited
+        else:
+            once = linked & (home[q][:, None] != home[x][None, :])
         count = np.concatenate([linked @ weight[x], once.T @ weight[q]])
         who = np.concatenate([eid[q], eid[x]])
         node, root = roots(eid[q][i], eid[x][j])

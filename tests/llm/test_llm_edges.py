@@ -174,6 +174,23 @@ def test_vectors_by_brute_force(spark, monkeypatch):
     assert multi_index.near_vectors(df.limit(0)).collect() == []
 
 
+@pytest.mark.parametrize("most", [100_000, 8])
+def test_rare_links_are_all_found(spark, monkeypatch, most):
+    monkeypatch.setattr(multi_index, "PROBES", 8)  # none of them has a neighbour
+    monkeypatch.setattr(multi_index, "MOST", most, raising=False)
+    rng = np.random.default_rng(3)
+    clean = rng.normal(size=(3000, 32))
+    clean /= np.linalg.norm(clean, axis=1, keepdims=True)
+    near = clean[:12] + 0.36 * rng.normal(size=(12, 32)) / np.sqrt(32)
+    every = np.concatenate([clean, near / np.linalg.norm(near, axis=1, keepdims=True)])
+    links = np.argwhere(np.triu(every @ every.T >= multi_index.SIMILARITY, 1))
+    assert 5 <= len(links) <= 12
+    df = spark.createDataFrame([(i, v.tolist(), "x") for i, v in enumerate(every)], "vec_id bigint, embedding array<double>, label string")
+    got = {r.vec_id: r for r in multi_index.near_vectors(df.repartition(4)).collect()}
+    assert len(got) == len(every) and sum(r.n_links for r in got.values()) == 2 * len(links)
+    assert all(got[b].component_id == a and got[a].n_links == got[b].n_links == 1 for a, b in links.tolist())
+
+
 def test_cells_are_visited_nearest_first():
     rng = np.random.default_rng(1)
     a, b = rng.random(9), rng.random(7)
