@@ -137,6 +137,23 @@ def test_classes_of_edge_rows(docs, none):
     assert ngram_join.classes(none).collect() == [] and ngram_join.representatives(none).collect() == []
 
 
+def test_one_row_of_each_class_stays(spark):
+    copied, other = vocabulary(21, 60, 4000), vocabulary(22, 60, 4000)
+    near, lone = " ".join(copied.split()[:-1]), vocabulary(23, 60, 4000)
+    rows = [(1, copied), (None, copied), (None, lone),  # a copy of null id, a clean row of null id
+            (2, near), (2, "kept beside a copy of its id"),  # one id, two texts
+            (3, "twice"), (3, "twice"), (4, "as a pair"), (4, "AS A  pair"),  # repeated rows; equal sets
+            (None, "never named"), (None, "never named"),  # a class of null ids only
+            (5, other), (5, other + " more"), (5, other + " more"),  # one id, several sets of a class
+            (6, None), (6, ""), (None, " ")]  # without words: link with nothing
+    docs = spark.createDataFrame([(*r, "x") for r in rows], "doc_id bigint, text string, source string").repartition(5)
+    left = [tuple(r)[:2] for r in ngram_join.representatives(docs).collect()]
+    free = [(1, copied), (None, lone), (2, "kept beside a copy of its id"), (3, "twice"), (None, "never named"), (6, None), (6, ""), (None, " ")]
+    assert all(left.count(r) == 1 for r in free)
+    rest = [r for r in left if r not in free]
+    assert sorted(i for i, _ in rest) == [4, 5] and all(r in rows for r in rest)
+
+
 def test_components(spark):
     links = [(i, i + 1) for i in range(0, 60)] + [(100, 200), (200, 150)] + [(500, 500 + i) for i in range(1, 300)] + [(7, 7)]
     got = components.components(spark.createDataFrame(links, "a bigint, b bigint").repartition(9))
