@@ -8,8 +8,11 @@ languages that may contain it. A prediction adds these masks up bit by bit over
 all trigrams of the text, takes from each language's count the false positives
 expected at its filter's fill, and picks the language with the largest rest.
 
-The filters have a fixed number of slots and are all that is sent to tasks; the
-counts come from all training rows. Trigrams run over letters in lower case,
+The filters are all that is sent to tasks; their slots follow from the counted
+trigrams of the language that has the most. The counts come from all training
+rows. How often a trigram must be seen depends on its language's total: once in
+a small language, LEAST times in others, a millionth part of very large ones.
+So a language holds a million trigrams at most. Trigrams run over letters in lower case,
 each run of other characters being one space.
 
 Cases: a null text or one without a letter is ``und`` with score 0, as is any
@@ -30,12 +33,17 @@ from pyspark.sql import types as T
 
 from quern.llm import common
 
+#: Slots at least, and per trigram of the language that has the most.
 SLOTS = 1 << 20
+SLOTS_EACH = 8
 HASHES = 3
 #: A language has a trigram if its share there is this part, at least, of the largest share in any language.
 NEAR_MOST = 0.25
-#: ... and if it was seen so often there.
+#: ... and if it was seen so often there, in a language of SMALL trigrams LEAST times, in smaller ones in proportion,
 LEAST = 3
+SMALL = 150_000
+#: ... and is this part of all that was seen there.
+LEAST_SHARE = 1e-6
 CHARS = 1 << 19
 UNKNOWN = "und"
 
@@ -89,11 +97,13 @@ def slots_of(grams: np.ndarray, size: int) -> list[np.ndarray]:
 
 @dataclass
 class Filters:
-    """``masks[slot, word]``: bits of the languages; ``wrong``: chance that a foreign trigram hits."""
+    """``masks[slot, word]``: bits of the languages; ``wrong``: chance that a foreign trigram hits; ``seen``: trigrams
+    of the largest language that it was learned from."""
 
     langs: list[str]
     masks: np.ndarray
     wrong: np.ndarray = field(init=False)
+    seen: int = 0
 
     def __post_init__(self):
         fill = [(self.masks[:, i // 64] >> np.uint64(i % 64) & np.uint64(1)).mean() for i in range(len(self.langs))]
@@ -135,7 +145,7 @@ def gram_counts(docs: DataFrame, text: str, lang: str) -> DataFrame:
 
 
 def learn(docs: DataFrame, text: str = "text", lang: str = "lang", slots: int = SLOTS) -> Filters:
-    """Filters of all languages in ``docs``; only slots and names reach the driver."""
+    """Filters of all languages in ``docs``, of ``slots`` or more; only slots and names reach the driver."""
     counts = common.kept(gram_counts(docs, text, lang), "trigrams")
     totals = counts.groupBy("_lang").agg(F.sum("_n").alias("_all")).collect()
     langs = sorted(r[0] for r in totals)
@@ -146,8 +156,11 @@ def learn(docs: DataFrame, text: str = "text", lang: str = "lang", slots: int =
     known = spark.createDataFrame([(r[0], r[1], number[r[0]]) for r in totals], "_lang string, _all bigint, _at int")
     shares = counts.join(known, "_lang").withColumn("_share", F.col("_n") / F.col("_all"))
     most = shares.groupBy("_gram").agg(F.max("_share").alias("_most"))
-    chosen = (shares.join(most, "_gram").where((F.col("_share") >= NEAR_MOST * F.col("_most")) & (F.col("_n") >= LEAST))
-              .select("_gram", "_at"))
+    least = F.greatest(F.least(F.lit(float(LEAST)), F.col("_all") * (LEAST / SMALL)), F.col("_all") * LEAST_SHARE)
+    chosen = common.kept(shares.join(most, "_gram").where((F.col("_share") >= NEAR_MOST * F.col("_most")) & (F.col("_n") >= least))
+                         .select("_gram", "_at"), "chosen")
+    largest = chosen.groupBy("_at").count().agg(F.max("count")).first()[0] or 0
+    slots = max(slots, 1 << (SLOTS_EACH * largest - 1).bit_length()) if largest else slots
 
     def place(batch):
         grams, at = batch.column(0).to_numpy(), batch.column(1).to_numpy()
@@ -161,7 +174,8 @@ def learn(docs: DataFrame, text: str = "text", lang: str = "lang", slots: int =
     masks = np.zeros((slots, -(-len(langs) // 64)), np.uint64)
     masks[bits["slot"].to_numpy(), bits["word"].to_numpy()] = common.unsigned(bits["bits"].to_numpy())
     common.drop_kept(counts)
-    return Filters(langs, masks)
+    common.drop_kept(chosen)
+    return Filters(langs, masks, max(r[1] for r in totals))
 
 
 def identify(docs: DataFrame, filters: Filters, text: str = "text") -> DataFrame:

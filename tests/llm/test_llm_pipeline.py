@@ -1,9 +1,10 @@
 """The pipeline, stage by stage."""
 
 import hashlib
+import random
 
 import corpus_pipeline
-from quern.llm import common, ngram_join, queries
+from quern.llm import common, language_id, ngram_join, queries
 
 
 def test_stages(spark, sf):
@@ -38,6 +39,26 @@ def test_documents_without_letters_go(spark):
     assert not left & {1, 2, 3} and {0, *range(4, 25)} <= left
 
 
+def test_clean_documents_of_small_or_unnamed_languages_stay(spark):
+    rng = random.Random(4)
+    english = [" ".join("".join(rng.choice("abcdefghijklmnop") for _ in range(3)) for _ in range(2000)) for _ in range(15)]
+    rare = "".join(chr(0x13A0 + rng.randrange(80)) + " " * (i % 5 == 0) for i in range(300))
+    rows = [(i, t, "en", "s", 1) for i, t in enumerate(english)] + [(100, rare, "chr", "s", 1), (101, "12 %%", "en", "s", 1)]
+    schema = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+    docs = spark.createDataFrame(rows, schema)
+    assert language_id.learn(docs).seen >= corpus_pipeline.LEAST_LEARNED
+    assert {r.doc_id for r in corpus_pipeline.keep_known_languages(spark, docs, "").collect()} == {*range(15), 100}
+    assert {r.doc_id: r.lang_pred for r in language_id.identify(docs, language_id.learn(docs)).collect()}[100] == "chr"
+    unnamed = spark.createDataFrame([(*r[:2], None, *r[3:]) for r in rows], schema)
+    assert {r.doc_id for r in corpus_pipeline.keep_known_languages(spark, unnamed, "").collect()} == {*range(15), 100}
+
+
+def test_slots_follow_the_trigrams(spark):
+    texts = ["".join(chr(0x4E00 + random.Random(i).randrange(2000) + j % 7) for j in range(3000)) for i in range(20)]
+    docs = spark.createDataFrame([(t, "zh") for t in texts], "text string, lang string")
+    assert language_id.learn(docs, slots=64).wrong[0] < 0.05
+
+
 def test_whole_run(spark, sf):
     out = corpus_pipeline.run(spark, sf)
     assert out.columns == ["doc_id", "lang", "source", "n_tokens", "ids", "decoded_sha256"] and out.count() > 0
