@@ -5,11 +5,15 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from quern.llm import bpe_files, common, imatch, language_id, line_dedup, lm_score, mixing, multi_index, ngram_join, passage_dedup, warc
+from quern.llm import (bpe_files, common, imatch, language_id, line_dedup, lm_score, merkle, mixing, multi_index, ngram_join, passage_dedup, token_counts,
+                       warc, whitening)
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
 
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
+MOST_TOKENS = 4_096
+
 #: Part of the entropy of equal weights that the mixture is to reach.
 ENTROPY = 0.995
 
@@ -58,6 +62,18 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.digests(common.table(spark, sf_dir, "documents"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.tampered_proofs(common.table(spark, sf_dir, "documents"))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.components_of_rows(common.table(spark, sf_dir, "embeddings"))
+
+
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.limits(common.table(spark, sf_dir, "documents"), PIECES, MOST_TOKENS)
+
+
 SQL_LINES = f"""
 WITH lines AS (
   SELECT doc_id, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos,
@@ -139,7 +155,49 @@ SELECT doc_id, source, n AS n_tokens, epoch, floor(unit * ceil(docs / {mixing.BL
        round((epoch + unit) * size / quota, 9) AS place
 FROM ranked WHERE epoch < whole OR before < rest"""
 
+
+def _sql_field(column: str) -> str:
+    return f"CASE WHEN {column} IS NULL THEN '-' ELSE octet_length(encode({column}::VARCHAR))::VARCHAR || ':' || {column}::VARCHAR END"
+
+
+def _sql_leaf(text: str) -> str:
+    return "sha256(" + " || ".join(_sql_field(c) for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+
+#: CRC-32 of the decimal id, a bit at a time (the polynomial is a fixed value).
+SQL_CRC = """xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(string_split(doc_id::VARCHAR, ''), lambda d: ascii(d)::BIGINT)),
+  lambda c, d: list_reduce(list_prepend(xor(c, d), range(8)), lambda e, bit: xor(e >> 1, 3988292384 * (e & 1)))))"""
+
+SQL_MERKLE = f"""
+WITH RECURSIVE rows AS (
+  SELECT doc_id, CASE WHEN source IS NULL THEN '' ELSE 's' || source END AS g, {_sql_leaf("text")} AS leaf,
+         CASE WHEN {SQL_CRC} % 2 = 0 THEN {_sql_leaf("replace(text, chr(10), '')")} ELSE {_sql_leaf("text")} END AS seen FROM documents),
+leaves AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS p FROM rows),
+tree(g, level, p, node, n) AS (
+  SELECT g, 0::BIGINT, p, leaf, count(*) OVER (PARTITION BY g) FROM leaves
+  UNION ALL SELECT g, level + 1, p // 3, sha256(string_agg(node, '' ORDER BY p)), any_value((n + 2) // 3) FROM tree WHERE n > 1 GROUP BY g, level, p // 3),
+subroots AS (SELECT g, node, row_number() OVER (ORDER BY g) - 1 AS p FROM tree WHERE n = 1),
+top(level, p, node, n) AS (
+  SELECT 0::BIGINT, p, node, count(*) OVER () FROM subroots
+  UNION ALL SELECT level + 1, p // 3, sha256(string_agg(node, '' ORDER BY p)), any_value((n + 2) // 3) FROM top WHERE n > 1 GROUP BY level, p // 3),
+forest AS (SELECT g, level, p, node FROM tree WHERE n > 1 UNION ALL SELECT NULL, level + 1000, p, node FROM top WHERE n > 1),
+steps AS (SELECT g, level, p, coalesce((SELECT string_agg(o.node, '' ORDER BY o.p) FROM forest o WHERE o.g IS NOT DISTINCT FROM f.g AND o.level = f.level AND o.p // 3 = f.p // 3 AND o.p < f.p), '') AS l,
+                 coalesce((SELECT string_agg(o.node, '' ORDER BY o.p) FROM forest o WHERE o.g IS NOT DISTINCT FROM f.g AND o.level = f.level AND o.p // 3 = f.p // 3 AND o.p > f.p), '') AS r
+          FROM forest f),
+near AS (SELECT d.g, d.p AS leaf_p, s.level, s.l, s.r FROM leaves d JOIN steps s ON s.g = d.g AND s.p = d.p // pow(3, s.level)::BIGINT
+         UNION ALL SELECT d.g, d.p, s.level, s.l, s.r FROM leaves d JOIN subroots b ON b.g = d.g JOIN steps s ON s.g IS NULL AND s.p = b.p // pow(3, s.level - 1000)::BIGINT),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY g, leaf_p ORDER BY level) AS k FROM near),
+folded(g, p, k, node) AS (
+  SELECT g, p, 0::BIGINT, seen FROM leaves
+  UNION ALL SELECT f.g, f.p, f.k + 1, sha256(n.l || f.node || n.r) FROM folded f JOIN numbered n ON n.g = f.g AND n.leaf_p = f.p AND n.k = f.k + 1),
+ends AS (SELECT g, p, arg_max(node, k) AS folded_root FROM folded GROUP BY g, p),
+proofs AS (SELECT g, leaf_p AS p, sha256(string_agg(l || r, '' ORDER BY level)) AS proof_sha256 FROM near GROUP BY g, leaf_p)
+SELECT d.doc_id, d.leaf, b.node AS subroot, t.node AS root, coalesce(q.proof_sha256, sha256('')) AS proof_sha256, e.folded_root, e.folded_root = t.node AS verified
+FROM leaves d JOIN subroots b USING (g) JOIN ends e ON e.g = d.g AND e.p = d.p LEFT JOIN proofs q ON q.g = d.g AND q.p = d.p, (SELECT node FROM top WHERE n = 1) t"""
+
 QUERIES = {"op1_pitman_yor": op1_pitman_yor, "op2_ngram_join": op2_ngram_join, "op3_multi_index": op3_multi_index,
            "op4_passage_dedup": op4_passage_dedup, "op5_language_id": op5_language_id, "op6_warc_derivatives": op6_warc_derivatives,
-           "op7_temperature_mix": op7_temperature_mix, "op8_imatch": op8_imatch, "op9_byte_bpe": op9_byte_bpe, "op10_line_dedup": op10_line_dedup}
-ORACLES = {"op2_ngram_join": SQL_JACCARD, "op3_multi_index": SQL_VECTORS, "op4_passage_dedup": SQL_PASSAGES, "op7_temperature_mix": SQL_MIX, "op10_line_dedup": SQL_LINES}
+           "op7_temperature_mix": op7_temperature_mix, "op8_imatch": op8_imatch, "op9_byte_bpe": op9_byte_bpe, "op10_line_dedup": op10_line_dedup,
+           "op11_merkle_manifest": op11_merkle_manifest, "op12_whitening": op12_whitening, "op13_token_counts": op13_token_counts}
+ORACLES = {"op2_ngram_join": SQL_JACCARD, "op3_multi_index": SQL_VECTORS, "op4_passage_dedup": SQL_PASSAGES, "op7_temperature_mix": SQL_MIX, "op10_line_dedup": SQL_LINES,
+           "op11_merkle_manifest": SQL_MERKLE}
