@@ -135,37 +135,34 @@ def _with_local_paths(blocks: DataFrame, fanout: int, levels: int) -> DataFrame:
     return common.map_arrow(blocks, run, schema)
 
 
-def _partners(place: Column, width: int, total: Column, fanout: int) -> Column:
+def _partners(place: str, width: int, total: str, fanout: int) -> Column:
     """Places that take this place's node in a round in which subtrees have ``width`` places: one's own, and those at
     its offset in every sibling subtree, or at offsets that only it can serve."""
-    def size(tree):
-        return F.least(F.lit(width).cast("bigint"), total - tree * width)
+    tree, offset = f"({place} div {width})", f"({place} % {width})"
+    first = f"({tree} - {tree} % {fanout})"
+    last = f"(least({first} + {fanout}, ({total} + {width - 1}) div {width}) - 1)"
 
-    tree, offset = F.floor(place / width).cast("bigint"), place % width
-    first = tree - tree % fanout
-    last = F.least(first + fanout, F.ceil(total / width)) - 1
+    def size(of):
+        return f"least({width}L, {total} - {of} * {width})"
 
-    def places(sibling):
-        held = F.sequence(offset, F.greatest(size(sibling) - 1, offset), size(tree))
-        return F.when(offset < size(sibling), F.transform(held, lambda o: sibling * width + o)).otherwise(F.array().cast("array<bigint>"))
+    held = f"sequence({offset}, greatest({size('s')} - 1, {offset}), {size(tree)})"
+    return F.expr(f"flatten(transform(sequence({first}, {last}), s -> CASE WHEN {offset} < {size('s')} "
+                  f"THEN transform({held}, o -> s * {width} + o) ELSE CAST(array() AS array<bigint>) END))")
 
-    return F.flatten(F.transform(F.sequence(first, last), places))
 
+def _swapped(messages: DataFrame, keys: list[str], tree: str, open_level: str) -> DataFrame:
+    """State after a round: (keys, _node, _own) from messages (keys, _from, _node, _own); ``_own`` is null in those of others.
 
-def _swapped(messages: DataFrame, keys: list[str], tree: Column, fanout_level_open: Column) -> DataFrame:
-    """State after a round: (keys, _node, _own) from messages (keys, _from, _node, _own); ``_own`` is null in those of others."""
-    run = messages.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("_from", "_node"))).alias("_run"),
-                                      F.first("_own", ignorenulls=True).alias("_own"))
-
-    def nodes(keep):
-        return F.array_join(F.transform(F.filter("_run", keep), lambda m: m["_node"]), "")
-
-    left, right = nodes(lambda m: m["_from"] < tree), nodes(lambda m: m["_from"] > tree)
-    own = F.filter("_run", lambda m: m["_from"] == tree)[0]["_node"]
-    grown = F.struct(F.concat(F.col("_own.path"), F.array(F.struct(left.alias("left"), right.alias("right")))).alias("path"),
-                     F.col("_own.group").alias("group"), F.col("_own.subroot").alias("subroot"))
-    return run.select(*keys, F.when(fanout_level_open, digest(left, own, right)).otherwise(own).alias("_node"),
-                      F.when(fanout_level_open, grown).otherwise(F.col("_own")).alias("_own"))
+    A place hashes its parent if ``open_level``; ``tree`` is its own subtree among those that were swapped.
+    """
+    run = messages.groupBy(*keys).agg(F.expr("sort_array(collect_list(struct(_from, _node))) AS _run"), F.expr("first(_own, true) AS _own"))
+    parts = {name: f"array_join(transform(filter(_run, m -> m._from {sign} {tree}), m -> m._node), '')"
+             for name, sign in (("left", "<"), ("mine", "="), ("right", ">"))}
+    parent = f"sha2(CAST(concat({parts['left']}, {parts['mine']}, {parts['right']}) AS BINARY), 256)"
+    step = f"array(named_struct('left', {parts['left']}, 'right', {parts['right']}))"
+    grown = f"named_struct('path', concat(_own.path, {step}), 'group', _own.group, 'subroot', _own.subroot)"
+    return run.selectExpr(*keys, f"CASE WHEN {open_level} THEN {parent} ELSE {parts['mine']} END AS _node",
+                          f"CASE WHEN {open_level} THEN {grown} ELSE _own END AS _own")
 
 
 def _rounds(total: int, fanout: int) -> int:
@@ -185,23 +182,21 @@ def _upper(blocks: DataFrame, fanout: int) -> DataFrame:
         "_index", "_blocks", "_block", "_node", own.alias("_own"))
     keys = ["_index", "_blocks", "_block"]
     for r in range(_rounds(most or 0, fanout)):
-        width, here = fanout**r, F.col("_block")
-        sent = state.withColumn("_to", F.explode(_partners(here, width, F.col("_blocks"), fanout)))
-        messages = sent.select("_index", "_blocks", F.col("_to").alias("_block"), F.floor(here / width).cast("bigint").alias("_from"), "_node",
-                               F.when(F.col("_to") == here, F.col("_own")).alias("_own"))
-        state = _swapped(messages, keys, F.floor(here / width).cast("bigint"), F.col("_blocks") > width)
-    state = state.withColumn("_own", F.struct("_own.path", "_own.group", F.col("_node").alias("subroot")))
-    targets = sizes.select(F.col("_index").alias("_at"), F.col("_blocks").alias("_there"))
+        width = fanout**r
+        sent = state.withColumn("_to", F.explode(_partners("_block", width, "_blocks", fanout)))
+        messages = sent.selectExpr("_index", "_blocks", "_to AS _block", f"_block div {width} AS _from", "_node",
+                                   "CASE WHEN _to = _block THEN _own END AS _own")
+        state = _swapped(messages, keys, f"(_block div {width})", f"_blocks > {width}")
+    state = state.selectExpr(*keys, "_node", "named_struct('path', _own.path, 'group', _own.group, 'subroot', _node) AS _own")
+    targets = sizes.selectExpr("_index AS _at", "_blocks AS _there")
     for r in range(_rounds(groups, fanout)):
-        width, here, block = fanout**r, F.col("_index"), F.col("_block")
-        sent = state.withColumn("_at", F.explode(_partners(here, width, F.lit(groups).cast("bigint"), fanout))).join(targets, "_at")
+        width = fanout**r
+        sent = state.withColumn("_at", F.explode(_partners("_index", width, f"{groups}L", fanout))).join(targets, "_at")
         # A group of fewer blocks serves those of a larger one in turn.
-        served = F.when(block < F.col("_there"), F.sequence(block, F.greatest(F.col("_there") - 1, block), F.col("_blocks")))
-        sent = sent.withColumn("_to", F.explode(served))
-        mine = (F.col("_at") == here) & (F.col("_to") == block)
-        messages = sent.select(F.col("_at").alias("_index"), F.col("_there").alias("_blocks"), F.col("_to").alias("_block"),
-                               F.floor(here / width).cast("bigint").alias("_from"), "_node", F.when(mine, F.col("_own")).alias("_own"))
-        state = _swapped(messages, keys, F.floor(here / width).cast("bigint"), F.lit(groups > width))
+        sent = sent.withColumn("_to", F.expr("explode(CASE WHEN _block < _there THEN sequence(_block, greatest(_there - 1, _block), _blocks) END)"))
+        messages = sent.selectExpr("_at AS _index", "_there AS _blocks", "_to AS _block", f"_index div {width} AS _from", "_node",
+                                   "CASE WHEN _at = _index AND _to = _block THEN _own END AS _own")
+        state = _swapped(messages, keys, f"(_index div {width})", f"{groups} > {width}")
     return state.select(F.col("_own.group").alias("_group"), "_block", F.col("_own.path").alias("_above"),
                         F.col("_own.subroot").alias("_subroot"), F.col("_node").alias("_root"))
 

@@ -26,7 +26,8 @@ PASSAGE = " ".join(f"word{i}" for i in range(60))
 
 def vocabulary(seed, n, size):
     rng = random.Random(seed)
-    return " ".join(rng.choice([f"w{i}" for i in range(size)]) for _ in range(n))
+    words = [f"w{i}" for i in range(size)]
+    return " ".join(rng.choice(words) for _ in range(n))
 
 
 def documents():
