@@ -41,6 +41,8 @@ from quern.plans.skew import null_safe_join, spread_join
 
 FANOUT = 3
 BLOCK_LEVELS = 6
+#: Leaves that one task numbers, until there are more than the most ranges hold.
+LEAVES_PER_RANGE = 1 << 14
 #: One level of a proof: the hexadecimal digests before and after one's own in its run.
 PATH = T.ArrayType(T.StructType([T.StructField("left", T.StringType(), False), T.StructField("right", T.StringType(), False)]), False)
 
@@ -212,7 +214,7 @@ def manifest(df: DataFrame, own: Column, group: str, order: str, seen: Column |
     rows = df.select(F.col(group).alias("_group"), F.col(order).alias("_order"), F.unhex(own).alias("_leaf"),
                      F.unhex(own if seen is None else seen).alias("_seen"))
     leaves = common.kept(rows, "leaves")  # the texts are read once
-    placed = dense_rank_from_zero(leaves, "_place", ["_order", "_leaf"], ["_group"])
+    placed = dense_rank_from_zero(leaves, "_place", ["_order", "_leaf"], ["_group"], rows_per_range=LEAVES_PER_RANGE)
     blocks = common.kept(_block_table(placed, fanout, levels), "blocks")
     common.drop_kept(leaves)
     joined = null_safe_join(blocks.drop("_node"), _upper(blocks, fanout), ["_group", "_block"])

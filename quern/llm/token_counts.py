@@ -1,9 +1,11 @@
 """Token counts of texts by a sentencepiece model, without making their ids.
 
-The model joins neighbouring symbols only to pieces of its vocabulary. If no
-piece holds a word mark behind another character, nor a line feed beside one,
-no symbol ever spans such a place, so a text falls apart there into pre-tokens
-that are coded alike wherever they stand:
+The model joins neighbouring symbols only to pieces of its vocabulary. Where two
+neighbours stand side by side in no piece, no symbol ever spans that place, so a
+text may be cut there: before white space, around line feeds and digits, between
+letters and signs. The pre-tokens between such cuts are coded alike wherever
+they stand. That every piece of the vocabulary is one pre-token is checked when
+the model is opened.
 
 1. pre-tokens are counted over all texts (per task first, then in one exchange);
 2. each distinct one is coded once, for the number of its pieces only;
@@ -12,22 +14,18 @@ that are coded alike wherever they stand:
    summed where the text is read; only the rest is joined by exchange, and as
    each of them is rare, no key of that join is hot.
 
-The vocabulary is checked for what the cuts need when the model is opened.
-
-Cases: a null or empty text has no bytes and no tokens. Rows are counted per
-(id, text), so repeated rows, null ids and ids with several texts keep a row
-each. Texts of any length are cut as a whole; a pre-token may be as long as its
+Cases: a null or empty text has no bytes and no tokens. Documents are told apart
+by a number of their own in the table of frequencies, so repeated rows, null ids
+and ids with several texts keep a row each. Texts of any length are cut as a whole; a pre-token may be as long as its
 text. Other columns are ignored, an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 
-import numpy as np
 import pyarrow as pa
-import xxhash
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,16 +33,18 @@ from quern.llm import common
 
 #: Fixed value: how the library writes a space inside pieces.
 MARK = "▁"
-#: Pre-tokens sent to every task, and the longest one among them: 20 MB at most.
-COMMON = 1 << 17
+#: Pre-tokens sent to every task, and the longest one among them: 30 MB at most.
+COMMON = 1 << 18
 COMMON_CHARS = 24
+#: Frequencies are told apart in steps of this part of a doubling to find how many pre-tokens are common.
+STEPS = 16
 #: Distinct pre-tokens a task gathers before it hands them on.
 GATHERED = 1 << 17
 #: Characters of pre-tokens coded, and rows emitted, at a time.
 CODED_CHARS = 1 << 20
 ROWS = 1 << 14
 
-_PRE_TOKEN = re.compile(" +[^ \n]*|[^ \n]+|\n")
+_PRE_TOKEN = regex.compile(r" *(?:[\p{L}\p{M}]+|[0-9]|[^\p{L}\p{M}0-9 \n]+)| +|\n")
 #: A line feed is coded by itself, so what follows it is coded as in the midst of a text.
 ANCHOR = "\n"
 
@@ -58,7 +58,7 @@ def model(path: str):
     if path not in _models:
         found = sentencepiece.SentencePieceProcessor(model_file=path)
         pieces = [found.id_to_piece(i) for i in range(found.vocab_size()) if not (found.is_control(i) or found.is_byte(i) or found.is_unknown(i))]
-        if any("\n" in p or MARK in p.lstrip(MARK) for p in pieces):
+        if any("\n" in p or len(_PRE_TOKEN.findall(p.replace(MARK, " "))) != 1 for p in pieces):
             raise ValueError(f"{path}: a piece spans a place where texts are cut")
         if found.encode("   ", out_type=str)[-1:] != [MARK] or found.encode(ANCHOR, out_type=str)[0] != MARK:
             raise ValueError(f"{path}: the model does not keep white space as it is, after a mark of its own")
@@ -118,39 +118,54 @@ def coded_vocabulary(docs: DataFrame, text: str, model_file: str) -> DataFrame:
     return common.kept(common.map_arrow(vocabulary(docs, text), run, "token string, seen bigint, pieces bigint"), "pre-tokens")
 
 
+def common_pieces(coded: DataFrame) -> dict[str, int]:
+    """Pieces of the most frequent pre-tokens, COMMON at most: all from some frequency on."""
+    short = coded.where(F.char_length("token") <= COMMON_CHARS).withColumn("step", F.floor(F.log2(F.col("seen")) * STEPS))
+    least, held = None, 0
+    for step, n in sorted(short.groupBy("step").count().collect(), reverse=True):  # STEPS * 63 rows at most
+        held += n
+        if held > COMMON:
+            break
+        least = step
+    if least is None:
+        return {}
+    table = short.where(F.col("step") >= least).select("token", "pieces").toArrow()
+    return dict(zip(table.column("token").to_pylist(), table.column("pieces").to_pylist()))
+
+
 def frequencies(docs: DataFrame, doc_id: str, text: str, known) -> DataFrame:
     """Per document one row with the pieces of its common pre-tokens, and one per other pre-token with its frequency.
 
-    Columns: id, two hashes of the text, n_bytes, known, token, n; ``token`` is
-    null in the document's own row, ``known`` in the others. ``known`` is a
-    broadcast of pieces by common pre-token.
+    Columns: row, id, n_bytes, known, token, n. In a document's own row
+    ``token`` and ``n`` are null, in the others ``id``, ``n_bytes`` and
+    ``known``; ``row`` is its number in the table. ``known`` is a broadcast of
+    pieces by common pre-token. Written once, so that the numbers stand.
     """
     kind = docs.schema[doc_id].dataType.simpleString()
 
     def run(batch):
-        common_pieces, ids = known.value, batch.column(batch.schema.get_field_index(doc_id))
+        pieces_of, ids = known.value, batch.column(batch.schema.get_field_index(doc_id))
+        numbers = batch.column(batch.schema.get_field_index("row")).to_pylist()
         at, rows = [], []
 
         def out():
             cols = list(zip(*rows))
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64()]
-            return pa.RecordBatch.from_arrays([ids.take(pa.array(at, pa.int32())), *[pa.array(c, k) for c, k in zip(cols, kinds)]],
-                                              ["id", "h1", "h2", "n_bytes", "known", "token", "n"])
+            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64()]
+            row, n_bytes, known_pieces, token, n = [pa.array(c, k) for c, k in zip(cols, kinds)]
+            return pa.RecordBatch.from_arrays([row, ids.take(pa.array(at, pa.int32())), n_bytes, known_pieces, token, n],
+                                              ["row", "id", "n_bytes", "known", "token", "n"])
 
         for i, value in enumerate(_texts(batch, text)):
-            data = value.encode()
-            both = xxhash.xxh3_128_intdigest(data)
-            h1, h2 = np.array([both >> 64, both & 0xFFFFFFFFFFFFFFFF], np.uint64).view(np.int64).tolist()
-            total, own = 0, len(rows)
-            rows.append(None)
+            total = 0
             for token, n in Counter(pre_tokens(value)).items():
-                pieces = common_pieces.get(token)
+                pieces = pieces_of.get(token)
                 if pieces is None:
-                    rows.append((h1, h2, len(data), None, token, n))
+                    rows.append((numbers[i], None, None, token, n))
+                    at.append(None)
                 else:
                     total += n * pieces
-            rows[own] = (h1, h2, len(data), total, None, None)
-            at += [i] * (len(rows) - own)
+            rows.append((numbers[i], len(value.encode()), total, None, None))
+            at.append(i)
             if len(rows) >= ROWS:
                 yield out()
                 at.clear()
@@ -158,26 +173,23 @@ def frequencies(docs: DataFrame, doc_id: str, text: str, known) -> DataFrame:
         if rows:
             yield out()
 
-    return common.map_arrow(docs.select(doc_id, text), run, f"id {kind}, h1 bigint, h2 bigint, n_bytes bigint, known bigint, token string, n bigint")
+    numbered = docs.select(F.monotonically_increasing_id().alias("row"), doc_id, text)
+    return common.kept(common.map_arrow(numbered, run, f"row bigint, id {kind}, n_bytes bigint, known bigint, token string, n bigint"), "frequencies")
 
 
 def count_tokens(df: DataFrame, model_file: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row: id, n_bytes and n_tokens of the text, without begin, end or other special tokens."""
-    spark = df.sparkSession
     docs = common.narrow(df, doc_id=doc_id, text=text)
     coded = coded_vocabulary(docs, "_text", model_file)
-    head = coded.where(F.char_length("token") <= COMMON_CHARS).orderBy(F.desc("seen"), "token").limit(COMMON)
-    known = spark.sparkContext.broadcast({token: pieces for token, pieces in head.select("token", "pieces").collect()})
-    found = common.kept(frequencies(docs, "_doc_id", "_text", known), "frequencies")
+    known = df.sparkSession.sparkContext.broadcast(common_pieces(coded))
+    found = frequencies(docs, "_doc_id", "_text", known)
     known.destroy()
-    key = ["id", "h1", "h2", "n_bytes"]
-    whole = found.where(F.col("token").isNull()).select(*key, F.col("known").alias("pieces"), F.lit(1).alias("copies"))
-    rest = (found.where(F.col("token").isNotNull()).join(coded.select("token", F.col("pieces").alias("each")), "token")
-            .select(*key, (F.col("n") * F.col("each")).alias("pieces"), F.lit(0).alias("copies")))
-    # Equal rows were added up: each gets its part back.
-    sums = whole.unionByName(rest).groupBy(*key).agg(F.sum("pieces").alias("pieces"), F.sum("copies").alias("copies"))
-    return (sums.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies"))))
-            .select(F.col("id").alias(doc_id), "n_bytes", F.expr("pieces div copies").alias("n_tokens")))
+    whole = found.where(F.col("token").isNull()).select("row", "id", "n_bytes", F.col("known").alias("pieces"))
+    rest = (found.where(F.col("token").isNotNull()).select("row", "token", "n").join(coded.select("token", F.col("pieces").alias("each")), "token")
+            .select("row", F.lit(None).cast(whole.schema["id"].dataType).alias("id"), F.lit(None).cast("bigint").alias("n_bytes"),
+                    (F.col("n") * F.col("each")).alias("pieces")))
+    sums = whole.unionByName(rest).groupBy("row").agg(F.max("id").alias("id"), F.max("n_bytes").alias("n_bytes"), F.sum("pieces").alias("pieces"))
+    return sums.select(F.col("id").alias(doc_id), "n_bytes", F.col("pieces").alias("n_tokens"))
 
 
 def limits(df: DataFrame, model_file: str, most: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
