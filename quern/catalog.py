@@ -30,6 +30,7 @@ LOOP_WEIGHTS = {"en": 0.4, "fr": 0.2, "de": 0.2, "es": 0.2}
 CHUNK = 4_096
 BLOCK = 128
 VOCAB_SIZE = 384
+LARGE_VOCAB_SIZE = 2_048
 TEACHERS = "groq:openai/gpt-oss-120b, qwen/qwen3-32b, openrouter:meta-llama/llama-3.1-8b-instruct:free"
 WHITE = r"[\s\x0b\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
 RE2_PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+"
@@ -503,6 +504,12 @@ def bpe_train(spark, sf_dir):
     return learned(spark, sf_dir).merge_table(spark)
 
 
+@query("bpe_train_large")
+def bpe_train_large(spark, sf_dir):
+    """A vocabulary of the size that models use; recursion in SQL takes too long for it, a test compares the public package."""
+    return bpe.train(pieces.piece_counts(plain_documents(spark, sf_dir)), LARGE_VOCAB_SIZE).merge_table(spark)
+
+
 @query("vocab_table", SQL_LEARN + f""",
       undo AS (SELECT list(symbol || pair ORDER BY rank DESC) AS steps FROM merges)
       SELECT (rank + 257)::INT AS token_id,

@@ -2,9 +2,13 @@
 
 Learning works on the table of distinct pieces. A piece is a string with one
 character per token, so merging a pair is ``replace`` and counting pairs is one
-aggregate, both inside generated code; a round of merges is one Spark job. The
-driver sees the few hundred most frequent runs per round and the merges, of
-which 16-bit ids allow at most 65,536.
+aggregate, both inside generated code. All runs are counted once; the most
+frequent ones, a bounded number, are known on the driver from then on. A round
+takes all merges that are sure from these counts, finds the pieces they change
+(a scan that compares a piece before and after, with no exchange), and exchanges
+only the runs of those, old ones with a negative sign, so that known counts stay
+exact. Runs are counted anew when the next pair is no longer above all that is
+unknown. Merges are at most 65,536, as ids have 16 bits.
 
 Coding a text shuffles nothing: the pieces come from the JVM, and each Arrow
 batch codes its distinct pieces once.
@@ -26,8 +30,9 @@ from quern.operators.pieces import (BYTE_SYMBOLS, END_OF_TEXT, from_symbols, gra
 from quern.plans.stage import RollingTable, complete
 
 MAX_VOCAB = 65_536
-TOP_GRAMS = 1_024  # most frequent runs looked at per round
-CUT_EVERY = 32     # merges applied on the fly before the piece table is rewritten
+KNOWN_GRAMS = 8_192   # most frequent runs known after a count
+MOST_KNOWN = 65_536  # runs known at most before they are counted anew
+CUT_EVERY = 64       # merges applied on the fly before the piece table is rewritten
 PLAN_STEP = 16
 CACHE_PIECES = 500_000
 
@@ -94,45 +99,56 @@ def _char_of(token_id: int, n_specials: int) -> str:
     return chr(code if code < 0xD800 else code + 0x800)  # step over the surrogates
 
 
-def _merge_all(words: DataFrame, merges: list[tuple[str, str]]) -> DataFrame:
+def _quoted(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _replaced(merges: list[tuple[str, str]]) -> str:
     # Filled up to a round number of replacements (of characters no piece holds):
     # plans of equal shape share their generated code from round to round.
     filled = merges + [("\0\0", "\0")] * (-len(merges) % PLAN_STEP)
-    col = F.col("symbols")
+    col = "symbols"
     for pair, merged in filled:
-        col = F.replace(col, F.lit(pair), F.lit(merged))
+        col = f"replace({col}, {_quoted(pair)}, {_quoted(merged)})"
     # ``explode`` of one element keeps the optimiser from copying the chain of
     # replacements into every place that uses the result.
-    return words.select(F.explode(F.array(col)).alias("symbols"), "n")
+    return f"explode(array({col}))"
+
+
+def _merge_all(words: DataFrame, merges: list[tuple[str, str]]) -> DataFrame:
+    return words.selectExpr(f"{_replaced(merges)} AS symbols", "n")
 
 
-def _safe_batch(top: list[tuple[str, int]], complete_list: bool) -> list[str]:
+def _safe_batch(top: list[tuple[str, int]], unseen: int) -> list[str]:
     """Leading pairs that merging one at a time would also pick, in this order.
 
-    ``top`` is the head of all runs of two and three by (count desc, run asc).
-    Merging ``ab`` makes pairs no more frequent than the runs ``xab`` and ``abc``
-    were, and changes only pairs that start with ``b`` or end with ``a``: of the
-    pair ``bc`` it uses up those in ``abc``, all of them if a and b differ. So a
-    further pair is safe while it is unchanged and strictly more frequent than
-    everything a merge made or changed (``bar``). Runs beyond ``top`` are at
-    most as frequent as its last.
+    ``top`` holds runs of two and three by (count desc, run asc); all others are
+    at most as frequent as ``unseen``. Merging ``ab`` makes pairs no more
+    frequent than the runs ``xab`` and ``abc`` were, and changes only pairs that
+    start with ``b`` or end with ``a``: of the pair ``bc`` it uses up those in
+    ``abc``, all of them if a and b differ. So a further pair is safe while it
+    is unchanged and strictly more frequent than all that is unseen and
+    everything a merge made or changed (``bar``).
     """
-    unseen = 0 if complete_list else top[-1][1]
     count = dict(top)
     longer: dict[str, int] = {}
     for gram, n in top:
         if len(gram) == 3:
             for pair in (gram[:2], gram[1:]):
                 longer[pair] = max(longer.get(pair, 0), n)
-    taken, bar = [], 0
+    taken, bar = [], unseen
+    starts: dict[str, list[str]] = {}
+    ends: dict[str, list[str]] = {}
     for gram, n in top:
         if len(gram) != 2:
             continue
         if n <= bar:
             break
-        touching = [p for p in taken if p[1] == gram[0] or p[0] == gram[1]]
+        touching = [*ends.get(gram[0], ()), *(p for p in starts.get(gram[1], ()) if p[1] != gram[0])]
         if not touching:
             taken.append(gram)
+            starts.setdefault(gram[0], []).append(gram)
+            ends.setdefault(gram[1], []).append(gram)
             bar = max(bar, longer.get(gram, unseen))
             continue
         left = n
@@ -143,6 +159,25 @@ def _safe_batch(top: list[tuple[str, int]], complete_list: bool) -> list[str]:
     return taken
 
 
+def _counted(words: DataFrame, size: int) -> tuple[dict[str, int], int]:
+    """The ``size`` most frequent runs, and a bound of all others."""
+    rows = gram_counts(words, triples=True).orderBy(F.desc("n"), "gram").limit(size).collect()
+    return {r["gram"]: r["n"] for r in rows}, rows[-1]["n"] if len(rows) == size else 0
+
+
+def _changes(words: DataFrame, pending: list[tuple[str, str]], made: list[tuple[str, str]], known: dict[str, int], floor: int) -> list:
+    """(run, change of its count) by the merges ``made``, of known runs and of those that rise above ``floor``.
+
+    A run with a new token comes up in the round of that token and only gets
+    rarer later, so one that stays at or below the floor need not be known.
+    """
+    both = (_merge_all(words, pending).selectExpr("symbols", "n", f"{_replaced(made)} AS after").where("symbols <> after")
+            .selectExpr("inline(array(struct(symbols AS symbols, -n AS n), struct(after AS symbols, n AS n)))"))
+    touched = {c for pair, _ in made for c in pair}
+    listed = ", ".join(_quoted(g) for g in known if not touched.isdisjoint(g))
+    return gram_counts(both, triples=True).where(f"n > {floor} OR (n <> 0 AND gram IN ({listed}))").collect()
+
+
 def train(counts: DataFrame, vocab_size: int, specials: tuple[str, ...] = (END_OF_TEXT,)) -> Vocabulary:
     """Learn merges from a (piece, n) table until the vocabulary is full.
 
@@ -165,34 +200,47 @@ def train(counts: DataFrame, vocab_size: int, specials: tuple[str, ...] = (END_O
     words = stage.put(counts.select(to_symbols(F.col("piece")).alias("symbols"), "n")
                       .where(F.char_length("symbols") > 1).repartition(spread))
     pending: list[tuple[str, str]] = []
+    known: dict[str, int] = {}
+    floor, size, fresh = None, KNOWN_GRAMS, False
     while len(tokens) < vocab_size:
-        rows = (gram_counts(_merge_all(words, pending), triples=True)
-                .orderBy(F.desc("n"), "gram").limit(TOP_GRAMS).collect())
-        top = [(r["gram"], r["n"]) for r in rows]
-        batch = _safe_batch(top, len(top) < TOP_GRAMS) if top else []
+        if floor is None:
+            known, floor = _counted(_merge_all(words, pending), size)
+            fresh = True
+        batch = _safe_batch(sorted(known.items(), key=lambda g: (-g[1], g[0])), floor)
         if not batch:
-            if top:
-                raise RuntimeError("no pair among the most frequent runs")
-            break
+            if fresh and floor == 0:
+                break
+            size, floor = size * 2 if fresh else size, None  # a count that shows no sure pair was too short
+            continue
+        fresh, respelled, made = False, False, []
         for k, gram in enumerate(batch):
             left, right = id_of_char[gram[0]], id_of_char[gram[1]]
             token = tokens[left] + tokens[right]
-            known = id_of.get(token)
-            if known is not None and k > 0:
+            found = id_of.get(token)
+            if found is not None and k > 0:
                 break  # changes the counts of a token already in use: take it alone
-            if known is None:
-                known = len(tokens)
+            if found is None:
+                found = len(tokens)
                 tokens.append(token)
-                id_of[token] = known
-                char_of[known] = _char_of(known, len(specials))
-                id_of_char[char_of[known]] = known
-                alone = False
+                id_of[token] = found
+                char_of[found] = _char_of(found, len(specials))
+                id_of_char[char_of[found]] = found
             else:
-                alone = True
-            merges.append((left, right, known))
-            pending.append((gram, char_of[known]))
-            if alone or len(tokens) == vocab_size:
+                respelled = True
+            merges.append((left, right, found))
+            made.append((gram, char_of[found]))
+            if respelled or len(tokens) == vocab_size:
                 break
+        if len(tokens) == vocab_size:
+            break
+        if respelled or len(known) > MOST_KNOWN:
+            floor = None  # runs of a token in use may rise again: count anew
+        else:
+            for gram, change in _changes(words, pending, made, known, floor):
+                known[gram] = known.get(gram, 0) + change
+                if known[gram] <= floor:
+                    del known[gram]
+        pending += made
         if len(pending) >= CUT_EVERY:
             words = stage.put(_merge_all(words, pending).where(F.char_length("symbols") > 1))
             pending = []

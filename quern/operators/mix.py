@@ -11,11 +11,12 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quern.functions.draw import unit
-from quern.plans.prefix import dense_rank_from_zero, prefix_sum
+from quern.plans import prefix
+from quern.plans.prefix import cut_points, dense_rank_from_zero, prefix_sum, range_of
 from quern.plans.stage import cut
 
 TICKS = 2**20  # arrival times are BIGINT ticks, so that sums are exact
@@ -55,11 +56,20 @@ def loop(df: DataFrame, epochs: int) -> DataFrame:
 def blend_order(df: DataFrame, weights: dict[str, float], seed: int = 42, *, source: str = "source_id",
                 order: str = "ord", text: str = "text", looped: tuple[str, ...] = (),
                 stop: str = "budget", budget: int | None = None, **ranges) -> DataFrame:
-    """The blend as (source, ord, epoch, doc_index), without the texts."""
+    """The blend as (source, ord, epoch, doc_index), without the texts.
+
+    With a ``budget`` only that many documents are placed, and only a beginning
+    of every source that surely holds them is ordered. A row without an order
+    is an error.
+    """
     filled = F.coalesce(F.col(text), F.lit("")) != ""
-    slim = df.select(source, order, filled.alias("_filled"))
+    kind = df.schema[order].dataType
+    given = F.when(F.col(order).isNull(), F.raise_error(F.lit(f"a row has no {order}")).cast(kind)).otherwise(F.col(order))
+    slim = df.select(source, given.alias(order), filled.alias("_filled"))
     if looped:
         drawn = _looped_arrivals(slim, weights, seed, source, order, looped, stop, budget, ranges)
+    elif budget is not None:
+        drawn = _budgeted_arrivals(df.select(source, order, filled.alias("_filled")), slim, weights, seed, source, order, budget, ranges)
     else:
         drawn = arrivals(slim.withColumn("epoch", F.lit(0)), weights, seed, source, order, **ranges)
     drawn = cut(drawn.where("_filled").drop("_filled"))
@@ -75,10 +85,78 @@ def interleave(df: DataFrame, weights: dict[str, float], seed: int = 42, *, sour
     Empty texts take part in the draw and are dropped after it. ``looped``
     sources start over until ``stop``: after ``budget`` documents, or once every
     other source is used up (``finite_exhausted``). Only (source, ord) and the
-    draw go through the ordering; the text is joined back once by its key.
+    draw go through the ordering; the text is joined back once by its key, which
+    must be unique: a repeated one is an error.
     """
     placed = blend_order(df, weights, seed, source=source, order=order, **options)
-    return df.join(placed, [source, order])
+    # Rows of one key meet for the join anyway.
+    before = F.lag("epoch").over(Window.partitionBy(source, order).orderBy("epoch"))
+    repeated = F.raise_error(F.concat(F.lit(f"a {order} occurs twice in source "), F.col(source))).cast("int")
+    return df.join(placed.withColumn("epoch", F.when(before == F.col("epoch"), repeated).otherwise(F.col("epoch"))), [source, order])
+
+
+def _horizon(wanted: float, share: dict[str, float], sizes: dict[str, int]) -> float:
+    """By which tick, in units of TICKS, about ``wanted`` rows have arrived; infinite if there are fewer."""
+    if wanted >= sum(sizes.values()):
+        return math.inf
+    low, high = 0.0, 1.0
+    while sum(min(n, share.get(s, 0.0) * high) for s, n in sizes.items()) < wanted and high < 1e18:
+        high *= 2
+    for _ in range(60):
+        middle = (low + high) / 2
+        enough = sum(min(n, share.get(s, 0.0) * middle) for s, n in sizes.items()) >= wanted
+        low, high = (low, middle) if enough else (middle, high)
+    return high
+
+
+def _budgeted_arrivals(raw, slim, weights, seed, source, order, budget, ranges) -> DataFrame:
+    """Arrivals of a beginning of each source that holds the first ``budget`` filled rows of the blend.
+
+    By the law of the gaps a source has sent about its share of the ticks by a
+    given tick. Rows are counted per source and range of its order, without
+    their texts, so that a beginning of as many rows, with slack for chance, is
+    a plain filter on the source and its order. The draw of a row does not
+    depend on the rows after it; so if enough filled rows arrive before the
+    first of the beginnings ends, they are those of the whole blend. If not,
+    more is taken.
+    """
+    share = normalised(weights)
+    keys = raw.select(source, order)
+    step = ranges.get("rows_per_range") or max(1, min(prefix.ROWS_PER_RANGE, budget // 4))
+    points = cut_points(keys, [source, order], step)
+    parts = keys.groupBy(source, range_of(keys, [source, order], points).alias("_part")).count().collect()  # ranges and sources at most
+    counts: dict[str, list[tuple[int, int]]] = {}
+    for name, part, n in sorted(map(tuple, parts), key=lambda r: (r[0] is not None, r)):
+        counts.setdefault(name, []).append((part, n))
+    sizes = {s: sum(n for _, n in held) for s, held in counts.items()}
+    kind = raw.schema[order].dataType
+    wanted = budget
+    while True:
+        tick = _horizon(wanted + 6 * math.sqrt(wanted) + 36, share, sizes)
+        mine, open_ended = F.lit(False), []
+        for name, held in counts.items():
+            rows = share.get(name, math.inf) * tick
+            needed, last, taken = rows + 6 * math.sqrt(rows) + 36, None, 0
+            for part, n in held:
+                taken += n
+                if taken >= needed:
+                    last = part
+                    break
+            here = F.col(source).eqNullSafe(F.lit(name))
+            if last is not None and taken < sizes[name]:
+                # The range ends before its point, which is the same source's: more of it follows.
+                here = here & (F.col(order) < F.lit(points[last][1]).cast(kind))
+                open_ended.append(name)
+            mine = mine | here
+        drawn = cut(arrivals(slim.where(mine).withColumn("epoch", F.lit(0)), weights, seed, source, order, **ranges))
+        if not open_ended:
+            return drawn
+        ends = {r[0]: r[1] for r in drawn.groupBy(source).agg(F.max("arrival")).collect()}
+        limit = min(ends.get(name, -1) for name in open_ended)
+        sure = drawn.where(F.col("arrival") < limit)
+        if sure.where("_filled").count() >= budget:
+            return sure
+        wanted *= 2
 
 
 def _looped_arrivals(slim, weights, seed, source, order, looped, stop, budget, ranges) -> DataFrame:

@@ -29,17 +29,21 @@ def latest(listing: DataFrame, path: str = "path") -> DataFrame:
 def retention(listing: DataFrame, keep: int, path: str = "path") -> DataFrame:
     """Add ``action``: ``keep`` for the newest ``keep`` per prefix, else ``delete``.
 
-    ``keep`` <= 0 keeps everything. Up to GROUP_LIMIT only the newest per prefix
-    and task are shuffled to find them; beyond, they are numbered by ranges. The
-    listing is then matched by its unique path.
+    ``keep`` <= 0 keeps everything. Up to GROUP_LIMIT the newest are found per
+    prefix and task, then per slot of paths, then as a whole, so that a prefix
+    never meets in one task; beyond, they are numbered by ranges. The listing is
+    then matched by its unique path.
     """
     known = steps(listing, path)
     if keep <= 0:
         return known.withColumn("action", F.lit("keep"))
     ordered = known.withColumn("_down", -F.col("step"))
     if keep <= GROUP_LIMIT:
-        newest = Window.partitionBy("prefix").orderBy("_down", path)
-        ranked = ordered.withColumn("_at", F.row_number().over(newest)).where(F.col("_at") <= keep)
+        slots = int(listing.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        ranked = ordered.select("prefix", "_down", path, F.pmod(F.xxhash64(path), F.lit(slots)).alias("_slot"))
+        for keys in (["prefix", "_slot"], ["prefix"]):
+            newest = Window.partitionBy(*keys).orderBy("_down", path)
+            ranked = ranked.withColumn("_at", F.row_number().over(newest)).where(F.col("_at") <= keep).drop("_at")
     else:
         ranked = dense_rank_from_zero(ordered.select("prefix", "_down", path), "_at", ["_down", path], ["prefix"]).where(F.col("_at") < keep)
     kept = ranked.select(path, F.lit("keep").alias("action"))

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer, decoders, models, pre_tokenizers, trainers
 
+from quern import catalog
 from quern.operators import bpe, pieces
 from quern.plans.stage import fresh_path
 
@@ -42,6 +43,45 @@ def test_training_matches_the_public_package(spark, learned, package):
     assert learned.eot_id == 0 and learned.size == SIZE
 
 
+def trained_by_the_package(spark, texts, size, path):
+    tok = Tokenizer(models.BPE(unk_token=None))
+    tok.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False)
+    tok.train_from_iterator(iter(texts), trainer=trainers.BpeTrainer(
+        vocab_size=size, special_tokens=["<|endoftext|>"], initial_alphabet=pre_tokenizers.ByteLevel.alphabet(), show_progress=False))
+    tok.save(path)
+    return bpe.Vocabulary.from_json(spark, path)
+
+
+def test_training_2048_ids_matches_the_public_package(spark, sf, tmp_path):
+    docs = catalog.plain_documents(spark, sf)
+    want = trained_by_the_package(spark, [r[0] for r in docs.select("text").collect()], 2_048, str(tmp_path / "tokenizer.json"))
+    assert want.size == 2_048
+    got = catalog.QUERIES["bpe_train_large"](spark, sf).orderBy("rank").collect()
+    assert [tuple(r) for r in got] == [(k, *m) for k, m in enumerate(want.merges)]
+
+
+@pytest.mark.parametrize("known, most, every", [(60, 80, 5), (3, 10_000, 1)])
+def test_training_with_few_known_runs(spark, documents, package, monkeypatch, known, most, every):
+    """Counts that are soon too short, and pieces rewritten at once, change nothing."""
+    monkeypatch.setattr(bpe, "KNOWN_GRAMS", known)
+    monkeypatch.setattr(bpe, "MOST_KNOWN", most)
+    monkeypatch.setattr(bpe, "CUT_EVERY", every)
+    small = 300
+    tok, path = package
+    assert bpe.train(pieces.piece_counts(documents), small).merges == bpe.Vocabulary.from_json(spark, path).merges[:small - 257]
+
+
+def test_rounds_exchange_only_what_changed(spark, documents, monkeypatch):
+    """After the first count a round handles the runs of changed pieces, not those of all."""
+    counts, seen = [], []
+    plain = bpe.gram_counts
+    monkeypatch.setattr(bpe, "gram_counts", lambda words, **k: (seen.append(words.count()), plain(words, **k))[1])
+    monkeypatch.setattr(bpe, "_counted", lambda words, size, f=bpe._counted: (counts.append(words.count()), f(words, size))[1])
+    bpe.train(pieces.piece_counts(documents), 330)
+    changed = seen[1:]
+    assert len(counts) == 1 and seen[0] == counts[0] and sum(changed) / len(changed) < counts[0]
+
+
 def test_training_small_corpora_one_at_a_time(spark):
     """Short alphabets make overlapping pairs, ties and respelled tokens common."""
     rng = random.Random(11)

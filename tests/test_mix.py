@@ -28,6 +28,37 @@ def test_interleave_keeps_source_order_and_loses_nothing(spark, per_range):
     assert order == in_order(mix.interleave(df.coalesce(1), {"a": 3, "b": 1, "c": 1}))
 
 
+@pytest.mark.parametrize("budget", [1, 25, 300, 2950, 10_000])
+@pytest.mark.parametrize("per_range", [None, 40])
+def test_a_budget_orders_only_a_beginning(spark, monkeypatch, budget, per_range):
+    """A source with most of the rows, one that soon runs out, one of empty texts: the blend's first documents, from few rows."""
+    sizes = {"a": 2700, "b": 15, "c": 400, "d": 100}
+    df = sources(spark, sizes, empty={("d", i) for i in range(95)}).repartition(6)
+    weights = {"a": 1, "b": 2, "c": 3, "d": 1, "none": 1}
+    options = {} if per_range is None else {"rows_per_range": per_range}
+    whole = in_order(mix.interleave(df, weights))
+    ordered, plain = [], mix.arrivals
+    monkeypatch.setattr(mix, "arrivals", lambda rows, *a, **k: (ordered.append(rows.count()), plain(rows, *a, **k))[1])
+    assert in_order(mix.interleave(df, weights, budget=budget, **options)) == whole[:budget]
+    assert max(ordered) <= 4 * budget + 400 and (budget > 300 or sum(ordered) < 1400)
+
+
+def test_a_horizon_holds_the_wanted_rows():
+    assert mix._horizon(10, {"a": 0.5, "b": 0.5}, {"a": 100, "b": 100}) == pytest.approx(10, rel=1e-6)
+    assert mix._horizon(50, {"a": 0.5, "b": 0.5}, {"a": 10, "b": 100}) == pytest.approx(80, rel=1e-6)
+    assert mix._horizon(200, {"a": 0.5, "b": 0.5}, {"a": 100, "b": 100}) == float("inf")
+
+
+def test_rows_without_or_with_the_same_order_are_refused(spark):
+    df = sources(spark, {"a": 30, "b": 30})
+    lacking = df.withColumn("ord", F.when(F.col("ord") != 4, F.col("ord")))
+    twice = df.withColumn("ord", F.when(F.col("ord") == 5, 4).otherwise(F.col("ord")).cast("bigint"))
+    for bad, message in ((lacking, "has no ord"), (twice, "occurs twice")):
+        with pytest.raises(Exception, match=message):
+            mix.interleave(bad, {"a": 1.0, "b": 1.0}).collect()
+    assert len(in_order(mix.interleave(df, {"a": 1.0, "b": 1.0}, looped=("b",), budget=200))) == 200
+
+
 def test_interleave_follows_the_weights(spark):
     df = sources(spark, {"a": 4000, "b": 4000, "c": 4000})
     head = in_order(mix.head(mix.interleave(df, {"a": 0.7, "b": 0.2, "c": 0.1}, seed=5), 4000))
