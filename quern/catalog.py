@@ -327,7 +327,8 @@ def synthetic_corpus(spark, sf_dir):
 def stream_corpus(spark, sf_dir):
     """The folder's documents as a stream, indexed batch by batch, read back."""
     schema = table(spark, sf_dir, "documents").schema
-    rows = corpus_stream.open_stream(spark, sf_dir, schema, "parquet", glob="documents.parquet")
+    # In braces the path is a pattern, which takes a table of one file as well as a folder of files.
+    rows = corpus_stream.open_stream(spark, f"{sf_dir}/{{documents.parquet}}", schema, "parquet")
     out = fresh_path(spark, "stream")
     coded_rows = rows.withColumn("n_tokens", (F.char_length("text") + 1).cast("bigint"))
     corpus_stream.start_indexed(coded_rows, out, fresh_path(spark, "offsets"), ["doc_id"]).awaitTermination()

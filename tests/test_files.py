@@ -1,10 +1,12 @@
 import json
 import os
+import shutil
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from quern import catalog
 from quern.operators import retention, tokens
 from quern.plans.stage import complete, fresh_path
 from quern.sources import jsonl, sinks
@@ -156,6 +158,17 @@ def test_stream_equals_batch(spark, tmp_path):
             at += r.n_tokens
 
 
+@pytest.mark.parametrize("files", [0, 3])
+def test_a_table_of_one_file_or_of_many_is_streamed_whole(spark, sf, documents, tmp_path, files):
+    place = tmp_path / "documents.parquet"
+    if files:
+        documents.repartition(files).write.parquet(str(place))
+    else:
+        shutil.copy(f"{sf}/documents.parquet", place)
+    got = {r.doc_id for r in catalog.QUERIES["stream_corpus"](spark, str(tmp_path)).collect()}
+    assert got == {r.doc_id for r in documents.where("text <> ''").collect()}
+
+
 def test_a_replayed_batch_gives_the_same_numbers(spark, tmp_path):
     ledger = str(tmp_path / "ledger")
     for b, docs in ((0, 10), (1, 15)):
