@@ -912,14 +912,15 @@ def jsonl_files(spark, sf_dir):
       SELECT doc_id, doc_index, split, n_tokens, coalesce(sum(n_tokens) OVER (PARTITION BY split ORDER BY doc_index
              ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start FROM divided""")
 def stream_lines(spark, sf_dir):
-    """Files of JSON lines that arrive one after another, numbered over three batches through the ledger."""
-    folder, out = fresh_path(spark, "arriving"), fresh_path(spark, "stream")
+    """Files of JSON lines that arrive in three lots, one after another, numbered over three batches through the ledger."""
+    folder, out, state = fresh_path(spark, "arriving"), fresh_path(spark, "stream"), fresh_path(spark, "offsets")
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     for part in range(3):
-        docs.where(F.col("doc_id") % 3 == part).coalesce(1).write.mode("append").json(folder)
-    rows = corpus_stream.open_stream(spark, folder, "doc_id long, text string", glob="*.json", files_per_batch=1)
-    sized = rows.withColumn("n_tokens", F.char_length("text").cast("bigint"))
-    corpus_stream.start_indexed(sized, out, fresh_path(spark, "offsets"), ["doc_id"]).awaitTermination()
+        # What arrives at a time is as many files as tasks wrote; the stream takes up again where it was and makes one batch of them.
+        docs.where(F.col("doc_id") % 3 == part).write.mode("append").json(folder)
+        rows = corpus_stream.open_stream(spark, folder, "doc_id long, text string", glob="*.json")
+        sized = rows.withColumn("n_tokens", F.char_length("text").cast("bigint"))
+        corpus_stream.start_indexed(sized, out, state, ["doc_id"]).awaitTermination()
     return spark.read.parquet(f"{out}/docs").select("doc_id", "doc_index", "split", "n_tokens", "start")
 
 

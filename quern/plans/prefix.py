@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 ROWS_PER_RANGE = 500_000
+WIDE_ROWS_PER_RANGE = 25_000  # of rows that carry whole texts through the exchange
 MAX_RANGES = 8_192
 RANGES_PER_SLOT = 8  # on clusters with more shuffle partitions than that
 SAMPLES_PER_RANGE = 24
@@ -37,6 +38,11 @@ _FIRST = "_first"
 _VALUE = "_value_"
 
 
+def wide() -> dict[str, int]:
+    """Options for rows that carry whole texts: a task gathers a few ranges, so these hold fewer rows."""
+    return {"rows_per_range": min(ROWS_PER_RANGE, WIDE_ROWS_PER_RANGE)}
+
+
 def _sortable(df: DataFrame, cols: list[str]) -> list[Column]:
     """Columns with the order of ``cols`` that a string can hold; bytes compare as their hexadecimal form does."""
     out = []

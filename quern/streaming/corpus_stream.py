@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from quern.operators.tokens import offsets, split, split_summary, with_doc_index
+from quern.plans.prefix import wide
 from quern.plans.stage import cut
 from quern.sources.corpus import text_of
 from quern.sources.jsonl import parse_jsonl
@@ -53,8 +54,8 @@ def index_batch(batch: DataFrame, order: list[str], totals: dict[str, tuple[int,
                 n_tokens: str = "n_tokens") -> DataFrame:
     """Number one batch's documents and place its tokens after ``totals``."""
     first_doc = sum(d for d, _ in totals.values())
-    indexed = with_doc_index(batch, order).withColumn("doc_index", F.col("doc_index") + F.lit(first_doc))
-    placed = offsets(split(indexed), n_tokens)
+    indexed = with_doc_index(batch, order, **wide()).withColumn("doc_index", F.col("doc_index") + F.lit(first_doc))
+    placed = offsets(split(indexed), n_tokens, **wide())
     base = F.lit(0)
     for name, (_, tokens) in totals.items():
         base = F.when(F.col("split") == name, F.lit(tokens)).otherwise(base)

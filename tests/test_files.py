@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from quern import catalog
 from quern.operators import retention, tokens
+from quern.plans import prefix
 from quern.plans.stage import complete, fresh_path
 from quern.sources import jsonl, sinks
 from quern.streaming import corpus_stream
@@ -169,6 +170,16 @@ def test_a_table_of_one_file_or_of_many_is_streamed_whole(spark, sf, documents,
     assert got == {r.doc_id for r in documents.where("text <> ''").collect()}
 
 
+def test_a_lot_arrives_as_the_files_of_many_tasks_and_is_one_batch(spark, documents, tmp_path, monkeypatch):
+    documents.repartition(4).write.parquet(str(tmp_path / "documents.parquet"))
+    monkeypatch.setattr(prefix, "WIDE_ROWS_PER_RANGE", 9)
+    paths = {}
+    monkeypatch.setattr(catalog, "fresh_path", lambda spark, name: paths.setdefault(name, str(tmp_path / name)))
+    rows = sorted(catalog.QUERIES["stream_lines"](spark, str(tmp_path)).collect(), key=lambda r: r.doc_index)
+    assert [r.doc_id for r in rows] == sorted((r.doc_id for r in rows), key=lambda i: (i % 3, i))
+    assert len(list((tmp_path / "arriving").glob("*.json"))) > 3 and len(list((tmp_path / "stream" / "docs").glob("batch=*"))) == 3
+
+
 def test_a_replayed_batch_gives_the_same_numbers(spark, tmp_path):
     ledger = str(tmp_path / "ledger")
     for b, docs in ((0, 10), (1, 15)):
