@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from quern.functions.text import STRIP_CHARS
 from quern.operators import bpe, candidates, distill, mix, pieces, prepare, retention, templates, tokens
-from quern.plans.prefix import dense_rank_from_zero
+from quern.plans.prefix import WIDE_ROWS_PER_RANGE, dense_rank_from_zero
 from quern.plans.stage import content_key, cut, fresh_path, shared_dir
 from quern.session import tune
 from quern.sources import corpus, jsonl, sinks
@@ -900,7 +900,9 @@ def jsonl_files(spark, sf_dir):
     """Documents in the order of their lines in files that also hold blank and broken lines."""
     path = fresh_path(spark, "lines")
     good = F.to_json(F.struct("doc_id", "lang", "text"))
-    (spark.read.parquet(f"{sf_dir}/documents.parquet").repartitionByRange(4, "doc_id").sortWithinPartitions("doc_id")
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    files = max(4, -(-docs.count() // WIDE_ROWS_PER_RANGE))
+    (docs.repartitionByRange(files, "doc_id").sortWithinPartitions("doc_id")
      .select(F.explode(F.array(good, F.lit(" "), F.concat(F.lit("{"), good), F.lit("[1]"))).alias("value")).write.text(path))
     return jsonl.read_jsonl(spark, path, "doc_id long, lang string, text string").select("ord", "doc_id", "lang", md5("text").alias("text_md5"))
 

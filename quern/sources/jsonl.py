@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quern.functions.text import strip
-from quern.plans.prefix import dense_rank_from_zero
+from quern.plans.prefix import dense_rank_from_zero, wide
 from quern.plans.stage import cut
 
 _OPTIONS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "broken", "allowSingleQuotes": "false"}
@@ -64,7 +64,7 @@ def read_jsonl(spark: SparkSession, path: str, schema: T.StructType | str, **ran
         F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"),
         F.monotonically_increasing_id().alias("_row_id"), "value")
     rows = cut(parse_jsonl(lines, schema))
-    return (dense_rank_from_zero(rows, "ord", ["_file", "_block", "_row_id"], **ranges)
+    return (dense_rank_from_zero(rows, "ord", ["_file", "_block", "_row_id"], **{**wide(), **ranges})
             .drop("_file", "_block", "_row_id"))
 
 

@@ -180,6 +180,15 @@ def test_a_lot_arrives_as_the_files_of_many_tasks_and_is_one_batch(spark, docume
     assert len(list((tmp_path / "arriving").glob("*.json"))) > 3 and len(list((tmp_path / "stream" / "docs").glob("batch=*"))) == 3
 
 
+def test_lines_are_spread_over_as_many_files_as_their_number_asks_for(spark, sf, documents, tmp_path, monkeypatch):
+    monkeypatch.setattr(catalog, "WIDE_ROWS_PER_RANGE", 20)
+    monkeypatch.setattr(prefix, "WIDE_ROWS_PER_RANGE", 20)
+    monkeypatch.setattr(catalog, "fresh_path", lambda spark, name: str(tmp_path / name))
+    rows = sorted(catalog.QUERIES["jsonl_files"](spark, sf).collect(), key=lambda r: r["ord"])
+    assert [r["ord"] for r in rows] == list(range(documents.count())) and [r.doc_id for r in rows] == sorted(r.doc_id for r in rows)
+    assert len(list((tmp_path / "lines").glob("*.txt"))) > 8
+
+
 def test_a_replayed_batch_gives_the_same_numbers(spark, tmp_path):
     ledger = str(tmp_path / "ledger")
     for b, docs in ((0, 10), (1, 15)):
