@@ -98,12 +98,14 @@ def slots_of(grams: np.ndarray, size: int) -> list[np.ndarray]:
 @dataclass
 class Filters:
     """``masks[slot, word]``: bits of the languages; ``wrong``: chance that a foreign trigram hits; ``seen``: trigrams
-    of the largest language that it was learned from."""
+    of the largest language that it was learned from; ``covered``: part of the trigrams of a further text of the language
+    learned best that were seen before, by the trigrams seen once (Good and Turing); 0 if nothing was learned."""
 
     langs: list[str]
     masks: np.ndarray
     wrong: np.ndarray = field(init=False)
     seen: int = 0
+    covered: float = 0.0
 
     def __post_init__(self):
         fill = [(self.masks[:, i // 64] >> np.uint64(i % 64) & np.uint64(1)).mean() for i in range(len(self.langs))]
@@ -147,7 +149,7 @@ def gram_counts(docs: DataFrame, text: str, lang: str) -> DataFrame:
 def learn(docs: DataFrame, text: str = "text", lang: str = "lang", slots: int = SLOTS) -> Filters:
     """Filters of all languages in ``docs``, of ``slots`` or more; only slots and names reach the driver."""
     counts = common.kept(gram_counts(docs, text, lang), "trigrams")
-    totals = counts.groupBy("_lang").agg(F.sum("_n").alias("_all")).collect()
+    totals = counts.groupBy("_lang").agg(F.sum("_n").alias("_all"), F.count_if(F.col("_n") == 1).alias("_once")).collect()
     langs = sorted(r[0] for r in totals)
     number = {name: i for i, name in enumerate(langs)}
     if not langs:
@@ -175,7 +177,7 @@ def learn(docs: DataFrame, text: str = "text", lang: str = "lang", slots: int =
     masks[bits["slot"].to_numpy(), bits["word"].to_numpy()] = common.unsigned(bits["bits"].to_numpy())
     common.drop_kept(counts)
     common.drop_kept(chosen)
-    return Filters(langs, masks, max(r[1] for r in totals))
+    return Filters(langs, masks, max(r[1] for r in totals), max(1 - r[2] / r[1] for r in totals))
 
 
 def identify(docs: DataFrame, filters: Filters, text: str = "text") -> DataFrame:

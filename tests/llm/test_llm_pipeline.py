@@ -53,6 +53,19 @@ def test_clean_documents_of_small_or_unnamed_languages_stay(spark):
     assert {r.doc_id for r in corpus_pipeline.keep_known_languages(spark, unnamed, "").collect()} == {*range(15), 100}
 
 
+def test_verdicts_do_not_turn_on_the_size_of_the_input(spark):
+    rng = random.Random(7)
+    english = [" ".join("".join(rng.choice("abcdefghijklmnop") for _ in range(3)) for _ in range(2000)) for _ in range(16)]
+    foreign = "".join(chr(0x13A0 + rng.randrange(80)) for _ in range(300))
+    seen = set()
+    for n in (2, 15):
+        rows = [(i, t, "en", "s", 1) for i, t in enumerate(english[:n])] + [(100, foreign, None, "s", 1), (101, english[-1], None, "s", 1)]
+        docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+        seen.add(language_id.learn(docs).seen >= corpus_pipeline.LEAST_LEARNED)
+        assert {r.doc_id for r in corpus_pipeline.keep_known_languages(spark, docs, "").collect()} == {*range(n), 101}
+    assert seen == {False, True}
+
+
 def test_slots_follow_the_trigrams(spark):
     texts = ["".join(chr(0x4E00 + random.Random(i).randrange(2000) + j % 7) for j in range(3000)) for i in range(20)]
     docs = spark.createDataFrame([(t, "zh") for t in texts], "text string, lang string")
