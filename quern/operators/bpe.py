@@ -34,7 +34,9 @@ KNOWN_GRAMS = 8_192   # most frequent runs known after a count
 MOST_KNOWN = 65_536  # runs known at most before they are counted anew
 CUT_EVERY = 64       # merges applied on the fly before the piece table is rewritten
 PLAN_STEP = 16
-CACHE_PIECES = 500_000
+CACHE_PIECES = 200_000
+FEW_BYTES = 24            # pieces up to here are merged without a heap
+STRETCH_PIECES = 100_000  # pieces coded at a time, so that a task's memory does not follow its rows
 
 
 @dataclass(frozen=True)
@@ -276,10 +278,22 @@ def _coder(vocabulary: Vocabulary):
     cache_limit = CACHE_PIECES
 
     def code_piece(piece: str) -> list[int]:
-        """Merge the lowest-ranked neighbours first, from a heap over a linked list."""
+        ids = [byte_ids[b] for b in piece.encode("utf-8")]
+        return merge_few(ids) if len(ids) <= FEW_BYTES else merge_many(ids)
+
+    def merge_few(ids: list[int]) -> list[int]:
+        """Merge the lowest-ranked neighbours first, by looking at all pairs again after each merge."""
+        while True:
+            best = min([ranks[p] + (i,) for i, p in enumerate(zip(ids, ids[1:])) if p in ranks], default=None)
+            if best is None:
+                return ids
+            _, merged, i = best
+            ids[i:i + 2] = [merged]
+
+    def merge_many(ids: list[int]) -> list[int]:
+        """The same for a long piece, from a heap over a linked list."""
         import heapq
 
-        ids = [byte_ids[b] for b in piece.encode("utf-8")]
         n = len(ids)
         after, ahead = list(range(1, n + 1)), list(range(-1, n - 1))
         heap = [(*ranks[p], i, *p) for i in range(n - 1) if (p := (ids[i], ids[i + 1])) in ranks]
@@ -303,7 +317,7 @@ def _coder(vocabulary: Vocabulary):
         import pyarrow as pa
 
         cache: dict[str, np.ndarray] = {}
-        for batch in batches:
+        for batch in (part for whole in batches for part in stretches(whole)):
             distinct = batch.flatten().dictionary_encode()
             if len(cache) > cache_limit:
                 cache.clear()
@@ -314,16 +328,28 @@ def _coder(vocabulary: Vocabulary):
                     found = [special_ids[piece]] if piece in special_ids else code_piece(piece)
                     ids = cache[piece] = np.array(found, dtype=np.int32)
                 coded.append(ids)
-            sizes = np.array([len(c) for c in coded], dtype=np.int64)
+            sizes = np.array([len(c) for c in coded], dtype=np.int32)
             pool = np.concatenate(coded) if coded else np.empty(0, np.int32)
-            starts = np.cumsum(sizes) - sizes
+            starts = np.cumsum(sizes, dtype=np.int32) - sizes
             which = distinct.indices.to_numpy(zero_copy_only=False)
             lengths = sizes[which]
-            ends = np.cumsum(lengths)
-            gather = np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts[which] - (ends - lengths), lengths)
-            bounds = np.concatenate([[0], ends])
+            ends = np.cumsum(lengths, dtype=np.int32)
+            gather = np.arange(ends[-1] if len(ends) else 0, dtype=np.int32)
+            gather += np.repeat(starts[which] - (ends - lengths), lengths)
+            bounds = np.concatenate([np.zeros(1, np.int32), ends])
             per_row = batch.offsets.to_numpy() - batch.offsets[0].as_py()
-            yield pa.ListArray.from_arrays(pa.array(bounds[per_row].astype(np.int32)), pa.array(pool[gather]))
+            yield pa.ListArray.from_arrays(pa.array(bounds[per_row]), pa.array(pool[gather]))
+
+    def stretches(batch: pa.Array) -> Iterator[pa.Array]:
+        """Runs of rows with about STRETCH_PIECES pieces; a row is never cut."""
+        import numpy as np
+
+        ends, lo = batch.offsets.to_numpy()[1:] - batch.offsets[0].as_py(), 0
+        while lo < len(batch):
+            before = ends[lo - 1] if lo else 0
+            hi = max(lo + 1, int(np.searchsorted(ends, before + STRETCH_PIECES, side="right")))
+            yield batch.slice(lo, hi - lo)
+            lo = hi
 
     return F.arrow_udf(code, "array<int>")
 

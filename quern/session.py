@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 MEASURED_BROADCAST = "10MB"
+ARROW_BATCH_BYTES = 8 << 20  # a batch for Python ends here: rows may be long texts or whole shards
 
 
 def tune(spark: SparkSession) -> SparkSession:
@@ -24,4 +25,5 @@ def tune(spark: SparkSession) -> SparkSession:
     own.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
     own.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     own.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", MEASURED_BROADCAST)
+    own.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BATCH_BYTES))
     return own

@@ -137,6 +137,18 @@ def test_coding_matches_the_public_package(spark, learned, package, texts, parts
         assert r.decoded == r.text.replace("<|endoftext|>", "")
 
 
+def test_a_batch_is_coded_in_stretches_of_few_rows(spark, learned, texts, monkeypatch):
+    """The widest buffer a task makes follows STRETCH_PIECES, not the rows of its batch."""
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, text string").coalesce(1)
+    whole = {r.i: r.ids for r in bpe.encode(df, learned).collect()}
+    monkeypatch.setattr(bpe, "STRETCH_PIECES", 50)
+    monkeypatch.setattr(bpe, "FEW_BYTES", 0)
+    coder = bpe._coder(learned).func
+    pieces = df.select(bpe.split_pieces(F.col("text"), bpe.END_OF_TEXT).alias("p")).toArrow()["p"].combine_chunks()
+    parts = list(coder(iter([pieces])))
+    assert len(parts) > len(texts) // 50 and [ids for p in parts for ids in p.to_pylist()] == [whole[i] for i in range(len(texts))]
+
+
 def test_null_text_has_no_ids(spark, learned):
     df = spark.createDataFrame([(None,)], "text string")
     assert bpe.encode(df, learned).first()["ids"] == []
