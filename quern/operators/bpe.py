@@ -35,7 +35,7 @@ MOST_KNOWN = 65_536  # runs known at most before they are counted anew
 CUT_EVERY = 64       # merges applied on the fly before the piece table is rewritten
 PLAN_STEP = 16
 CACHE_PIECES = 200_000
-FEW_BYTES = 24            # pieces up to here are merged without a heap
+MOST_IN_TURN = 1_024      # merges up to here are made on all new pieces at once
 STRETCH_PIECES = 100_000  # pieces coded at a time, so that a task's memory does not follow its rows
 
 
@@ -276,24 +276,17 @@ def _coder(vocabulary: Vocabulary):
     ranks = {(a, b): (rank, m) for rank, (a, b, m) in reversed(list(enumerate(vocabulary.merges)))}
     special_ids = {s: vocabulary.tokens.index(s) for s in vocabulary.specials}
     cache_limit = CACHE_PIECES
+    merges = vocabulary.merges
+    # Merges may be made one after another if each token comes from one merge only, of tokens made before it.
+    made = {m: rank for rank, (_, _, m) in enumerate(merges)}
+    in_turn = len(merges) == len(made) <= MOST_IN_TURN and all(
+        made.get(t, -1) < rank for rank, (a, b, _) in enumerate(merges) for t in (a, b))
 
     def code_piece(piece: str) -> list[int]:
-        ids = [byte_ids[b] for b in piece.encode("utf-8")]
-        return merge_few(ids) if len(ids) <= FEW_BYTES else merge_many(ids)
-
-    def merge_few(ids: list[int]) -> list[int]:
-        """Merge the lowest-ranked neighbours first, by looking at all pairs again after each merge."""
-        while True:
-            best = min([ranks[p] + (i,) for i, p in enumerate(zip(ids, ids[1:])) if p in ranks], default=None)
-            if best is None:
-                return ids
-            _, merged, i = best
-            ids[i:i + 2] = [merged]
-
-    def merge_many(ids: list[int]) -> list[int]:
-        """The same for a long piece, from a heap over a linked list."""
+        """Merge the lowest-ranked neighbours first, from a heap over a linked list."""
         import heapq
 
+        ids = [byte_ids[b] for b in piece.encode("utf-8")]
         n = len(ids)
         after, ahead = list(range(1, n + 1)), list(range(-1, n - 1))
         heap = [(*ranks[p], i, *p) for i in range(n - 1) if (p := (ids[i], ids[i + 1])) in ranks]
@@ -312,6 +305,20 @@ def _coder(vocabulary: Vocabulary):
                     heapq.heappush(heap, (*ranks[p], l, *p))
         return [t for t in ids if t >= 0]
 
+    def code_together(found: list[str]):
+        """The ids of all pieces, kept in one string with a character per token: a merge is one replacement."""
+        import numpy as np
+
+        shown = np.zeros(256, np.uint16)  # 0 ends a piece; no byte of UTF-8 is 255
+        shown[:255] = np.array(byte_ids[:255]) + 256
+        text = shown[np.frombuffer(b"\xff".join(p.encode("utf-8") for p in found), np.uint8)].tobytes().decode("utf-16-le")
+        for a, b, merged in merges:
+            text = text.replace(chr(a + 256) + chr(b + 256), chr(merged + 256))
+        flat = np.frombuffer(text.encode("utf-16-le"), np.uint16).astype(np.int32)
+        ends = [*np.flatnonzero(flat == 0).tolist(), len(flat)]
+        flat -= 256
+        return [flat[lo:hi] for lo, hi in zip([0, *[e + 1 for e in ends]], ends)]
+
     def code(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         import numpy as np
         import pyarrow as pa
@@ -321,13 +328,14 @@ def _coder(vocabulary: Vocabulary):
             distinct = batch.flatten().dictionary_encode()
             if len(cache) > cache_limit:
                 cache.clear()
-            coded = []
-            for piece in distinct.dictionary.to_pylist():
-                ids = cache.get(piece)
-                if ids is None:
-                    found = [special_ids[piece]] if piece in special_ids else code_piece(piece)
-                    ids = cache[piece] = np.array(found, dtype=np.int32)
-                coded.append(ids)
+            here = distinct.dictionary.to_pylist()
+            fresh = [p for p in here if p not in cache]
+            if in_turn and fresh:
+                cache.update(zip(fresh, code_together(fresh)))
+            else:
+                cache.update((p, np.array(code_piece(p), dtype=np.int32)) for p in fresh)
+            cache.update((p, np.array([special_ids[p]], dtype=np.int32)) for p in fresh if p in special_ids)
+            coded = [cache[p] for p in here]
             sizes = np.array([len(c) for c in coded], dtype=np.int32)
             pool = np.concatenate(coded) if coded else np.empty(0, np.int32)
             starts = np.cumsum(sizes, dtype=np.int32) - sizes

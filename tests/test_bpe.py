@@ -142,13 +142,25 @@ def test_a_batch_is_coded_in_stretches_of_few_rows(spark, learned, texts, monkey
     df = spark.createDataFrame(list(enumerate(texts)), "i int, text string").coalesce(1)
     whole = {r.i: r.ids for r in bpe.encode(df, learned).collect()}
     monkeypatch.setattr(bpe, "STRETCH_PIECES", 50)
-    monkeypatch.setattr(bpe, "FEW_BYTES", 0)
+    monkeypatch.setattr(bpe, "MOST_IN_TURN", 0)
     coder = bpe._coder(learned).func
     pieces = df.select(bpe.split_pieces(F.col("text"), bpe.END_OF_TEXT).alias("p")).toArrow()["p"].combine_chunks()
     parts = list(coder(iter([pieces])))
     assert len(parts) > len(texts) // 50 and [ids for p in parts for ids in p.to_pylist()] == [whole[i] for i in range(len(texts))]
 
 
+def test_merges_that_respell_a_token_are_made_by_rank(spark):
+    """``abc`` has two spellings, and its pair with ``d`` ranks between them: one pass over the merges would miss it."""
+    at = {c: 1 + sorted(pieces.BYTE_SYMBOLS).index(c) for c in "abcdx"}
+    tokens = (bpe.END_OF_TEXT, *sorted(pieces.BYTE_SYMBOLS), "xa", "abc", "abcd", "bc")
+    plain = ((at["x"], at["a"], 257), (at["b"], at["c"], 260))
+    again = (*plain, (258, at["d"], 259), (at["a"], 260, 258))
+    for merges, text, ids in ((plain, "xabc", [257, 260]), (again, "abcd", [259]), (again, "aé\nbc", None)):
+        got = bpe.encode(spark.createDataFrame([(text,)], "text string"), bpe.Vocabulary(tokens, merges)).first().ids
+        assert ids is None or got == ids
+        assert bpe.decode(spark.createDataFrame([(got,)], "ids array<int>"), bpe.Vocabulary(tokens, merges)).first().decoded == text
+
+
 def test_null_text_has_no_ids(spark, learned):
     df = spark.createDataFrame([(None,)], "text string")
     assert bpe.encode(df, learned).first()["ids"] == []
