@@ -802,7 +802,8 @@ def retention_plan(spark, sf_dir):
 @query("jsonl_sink", f"WITH {SQL_DRY} SELECT md5(text) AS text_md5, recipe, NULL::VARCHAR AS teacher FROM written")
 def jsonl_sink(spark, sf_dir):
     path = fresh_path(spark, "corpus")
-    jsonl.write_jsonl(distill.dry_run(assigned(spark, sf_dir)).select("text", "recipe", "teacher"), path)
+    # A dry run repeats its prompts, so its lines shrink to a small part; no file holds more than one task wrote.
+    jsonl.write_jsonl(distill.dry_run(assigned(spark, sf_dir)).select("text", "recipe", "teacher"), path, "gzip")
     back = jsonl.parse_jsonl(spark.read.text(path), "text string, recipe string, teacher string")
     return back.select(md5("text").alias("text_md5"), "recipe", "teacher")
 

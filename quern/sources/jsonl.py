@@ -68,6 +68,6 @@ def read_jsonl(spark: SparkSession, path: str, schema: T.StructType | str, **ran
             .drop("_file", "_block", "_row_id"))
 
 
-def write_jsonl(df: DataFrame, path: str) -> None:
-    """Append rows as JSON objects; null fields are written as null."""
-    df.write.mode("append").option("ignoreNullFields", False).json(path)
+def write_jsonl(df: DataFrame, path: str, compression: str = "none") -> None:
+    """Append rows as JSON objects; null fields are written as null. Compressed files are read by one task each."""
+    df.write.mode("append").option("ignoreNullFields", False).option("compression", compression).json(path)

@@ -189,6 +189,13 @@ def test_lines_are_spread_over_as_many_files_as_their_number_asks_for(spark, sf,
     assert len(list((tmp_path / "lines").glob("*.txt"))) > 8
 
 
+def test_lines_of_a_dry_run_are_written_small(spark, sf, tmp_path, monkeypatch):
+    monkeypatch.setattr(catalog, "fresh_path", lambda spark, name: str(tmp_path / name))
+    rows = catalog.QUERIES["jsonl_sink"](spark, sf)
+    written = sum(f.stat().st_size for f in (tmp_path / "corpus").glob("*.json.gz"))
+    assert 0 < written < 100 * rows.count() == 100 * spark.read.parquet(f"{sf}/orders.parquet").count()
+
+
 def test_a_replayed_batch_gives_the_same_numbers(spark, tmp_path):
     ledger = str(tmp_path / "ledger")
     for b, docs in ((0, 10), (1, 15)):
