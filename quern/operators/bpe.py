@@ -1,8 +1,10 @@
 """Learning and applying a byte-level BPE vocabulary.
 
 Learning works on the table of distinct pieces. A piece is a string with one
-character per token, so merging a pair is ``replace`` and counting pairs is one
-aggregate, both inside generated code. All runs are counted once; the most
+character per token. Many merges are guessed and tried together (``trials``); a
+few, or those that trials leave, are learned in rounds. There merging a pair is
+``replace`` and counting pairs is one aggregate, both inside generated code. All
+runs are counted once; the most
 frequent ones, a bounded number, are known on the driver from then on. A round
 takes all merges that are sure from these counts, finds the pieces they change
 (a scan that compares a piece before and after, with no exchange), and exchanges
@@ -25,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quern.operators import trials
 from quern.operators.pieces import (BYTE_SYMBOLS, END_OF_TEXT, from_symbols, gram_counts, piece_counts,
                                     split_pieces, to_symbols)
 from quern.plans.stage import RollingTable, complete
@@ -32,6 +35,7 @@ from quern.plans.stage import RollingTable, complete
 MAX_VOCAB = 65_536
 KNOWN_GRAMS = 8_192   # most frequent runs known after a count
 MOST_KNOWN = 65_536  # runs known at most before they are counted anew
+TRIAL_LEAST = 100    # merges from which on they are guessed and tried; rounds make fewer
 CUT_EVERY = 64       # merges applied on the fly before the piece table is rewritten
 PLAN_STEP = 16
 CACHE_PIECES = 200_000
@@ -201,6 +205,15 @@ def train(counts: DataFrame, vocab_size: int, specials: tuple[str, ...] = (END_O
     stage = RollingTable(spark, "pieces")
     words = stage.put(counts.select(to_symbols(F.col("piece")).alias("symbols"), "n")
                       .where(F.char_length("symbols") > 1).repartition(spread))
+    if vocab_size - len(tokens) >= TRIAL_LEAST:
+        names = trials.Names({ord(c): tokens[i] for i, c in char_of.items()}, len(tokens), lambda i: ord(_char_of(i, len(specials))))
+        kept, words = trials.learn(words, stage, names, vocab_size)
+        for left, right, merged in kept:
+            if chr(merged) not in id_of_char:
+                id_of_char[chr(merged)] = id_of[names.spelled[merged]] = len(tokens)
+                char_of[len(tokens)] = chr(merged)
+                tokens.append(names.spelled[merged])
+            merges.append(tuple(id_of_char[chr(c)] for c in (left, right, merged)))
     pending: list[tuple[str, str]] = []
     known: dict[str, int] = {}
     floor, size, fresh = None, KNOWN_GRAMS, False
