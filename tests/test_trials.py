@@ -41,6 +41,7 @@ def test_trials_of_small_corpora(spark, tried, monkeypatch, guessed, most):
     monkeypatch.setattr(trials, "GUESS_PIECES", guessed)
     monkeypatch.setattr(trials, "MOST_TRIED", most)
     monkeypatch.setattr(trials, "PORTION", 64)
+    monkeypatch.setattr(trials, "REWRITE_FROM", 7)
     rng = random.Random(12)
     for case in range(3):
         words = {"".join(rng.choice("abcd"[: 2 + case % 3]) for _ in range(rng.randrange(1, 14))): rng.randrange(1, 9)
