@@ -444,8 +444,12 @@ SQL_PIECES = f"""
 
 
 def plain_documents(spark, sf_dir) -> DataFrame:
-    return table(spark, sf_dir, "documents").withColumn(
-        "text", F.trim(F.regexp_replace("text", r"[\p{IsWhite_Space}]+", " ")))
+    return table(spark, sf_dir, "documents").withColumn("text", plain("text"))
+
+
+def plain(text: str) -> Column:
+    """Runs of white space as one space each, none at the ends. Single spaces, most by far, need no replacement."""
+    return F.trim(F.regexp_replace(text, r" [\p{IsWhite_Space}]+|[\p{IsWhite_Space}&&[^ ]][\p{IsWhite_Space}]*", " "))
 
 
 @query("pretokenize", f"""

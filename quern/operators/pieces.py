@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,6 +17,10 @@ PIECE_PATTERN = (
 END_OF_TEXT = "<|endoftext|>"
 
 STRETCH = 512  # symbols of a piece handled at a time
+HELD_BYTES = 32 << 20  # stretches of text and their counts that a task holds before it adds them up
+
+# White space as the pattern has it, for Arrow's expressions.
+_WHITE = r"[\x09-\x0d \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 
 # The byte alphabet: printable Latin-1 bytes stand for themselves, the others
 # take the code points from 256 on, in byte order.
@@ -46,10 +53,68 @@ def pretokenize(df: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc
     return df.select(*keep, F.posexplode(split_pieces(F.col(text))).alias("pos", "piece"))
 
 
+def _stretch_counter():
+    """Arrow function from texts to (stretch, n): texts cut before each space that follows something else than white space.
+
+    Nothing that the pattern matches goes on past such a place or looks beyond
+    it, so the pieces of a text are those of its stretches.
+    """
+    white, most = _WHITE, HELD_BYTES
+
+    def stretches(texts):
+        """The first stretch of each text, and all others without the space that they start with."""
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        words = pc.split_pattern(texts, " ")
+        values, sizes = words.flatten(), pc.list_value_length(words).to_numpy()
+        first = np.zeros(len(values), bool)
+        first[np.cumsum(sizes) - sizes] = True
+        if pc.any(pc.match_substring_regex(texts, white + " ")).as_py():
+            open_end = pc.match_substring_regex(values, rf"(^|{white})\z").to_numpy(zero_copy_only=False)
+            own = first | ~np.append(False, open_end[:-1])
+            starts = np.append(np.flatnonzero(own), len(own)).astype(np.int32)
+            values, first = pc.binary_join(pa.ListArray.from_arrays(pa.array(starts), values), " "), first[own]
+        return values.filter(pa.array(first)), values.filter(pa.array(~first))
+
+    def added_up(held):
+        import pyarrow as pa
+
+        sums = pa.concat_tables(held).group_by("stretch", use_threads=False).aggregate([("n", "sum")])
+        return sums.select(["stretch", "n_sum"]).rename_columns(["stretch", "n"])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        held = []
+        for batch in batches:
+            texts = batch.column(0).drop_null()
+            if not len(texts):
+                continue
+            for values, lead in zip(stretches(texts), ("", " ")):
+                counted = pc.value_counts(values)
+                found = pc.binary_join_element_wise(lead, counted.field("values"), "")
+                held.append(pa.table({"stretch": found, "n": counted.field("counts")}))
+            if sum(part.nbytes for part in held) > most:
+                held = [added_up(held)]
+                if held[0].nbytes > most // 2:
+                    yield from held.pop().to_batches()
+        if held:
+            yield from added_up(held).to_batches()
+
+    return count
+
+
 def piece_counts(df: DataFrame, text: str = "text") -> DataFrame:
-    """How often each distinct piece occurs; counted per task before the shuffle."""
-    return (df.select(F.explode(split_pieces(F.col(text))).alias("piece"))
-            .groupBy("piece").agg(F.count("*").alias("n")))
+    """How often each distinct piece occurs.
+
+    Tasks count stretches of text; the pattern is matched on the distinct ones of a task only.
+    """
+    counted = df.select(F.col(text).alias("text")).mapInArrow(_stretch_counter(), "stretch string, n bigint")
+    return (counted.select(F.explode(split_pieces(F.col("stretch"))).alias("piece"), "n")
+            .groupBy("piece").agg(F.sum("n").alias("n")))
 
 
 def to_symbols(piece: Column) -> Column:
