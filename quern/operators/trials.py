@@ -157,8 +157,15 @@ def changes(words: DataFrame, merges: list[Merge], base: int) -> DataFrame:
 
 def _sample(words: DataFrame, size: int) -> list[tuple[str, int]]:
     """About ``size`` pieces with weights, by priority sampling: sums over them are unbiased, frequent pieces are sure to be there."""
-    drawn = (words.withColumn("priority", F.expr("n / ((pmod(xxhash64(symbols), 1048576) + 1) / 1048576D)"))
-             .orderBy(F.desc("priority"), "symbols").limit(size + 1).collect())
+    table = words.withColumn("priority", F.expr("n / ((pmod(xxhash64(symbols), 1048576) + 1) / 1048576D)"))
+    # Each task of a sort with a limit sends as many rows to the driver: leave little more than the limit in all of them.
+    level, above = F.floor(F.log2("priority") * 8), 0
+    for r in table.groupBy(level.alias("level")).count().orderBy(F.desc("level")).collect():
+        above += r["count"]
+        if above > size:
+            table = table.where(level >= r["level"])
+            break
+    drawn = table.orderBy(F.desc("priority"), "symbols").limit(size + 1).collect()
     least = int(drawn.pop()["priority"]) if len(drawn) > size else 0
     return [(r["symbols"], max(r["n"], least)) for r in drawn]
 

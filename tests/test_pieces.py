@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quern import catalog
-from quern.operators import pieces
+from quern.operators import pieces, trials
 
 
 ODD = ["", " ", "  ", " a", "a b", "a  b", "a \n b", "a\n b c ", None, "　 x  y", "don't I'll we 've", "x\u0085 y\x0b z\x1c w  ",
@@ -43,3 +43,20 @@ def test_plain_text_is_that_of_replacing_every_run(spark):
     df = spark.createDataFrame([(t,) for t in ODD + made], "text string")
     whole = F.trim(F.regexp_replace("text", r"[\p{IsWhite_Space}]+", " "))
     assert df.where(~catalog.plain("text").eqNullSafe(whole)).count() == 0
+
+
+def test_the_sample_for_the_first_guess_is_sorted_from_few_rows(spark, monkeypatch):
+    """Every task of the sort sends its share to the driver, so what is sorted must not follow the table."""
+    rng = random.Random(7)
+    rows = [(f"{k:05d}", 1 + int(20 / rng.random())) for k in range(20_000)]
+    words = spark.createDataFrame(rows, "symbols string, n bigint").repartition(16)
+    ranked = [(r["symbols"], r["n"], r["p"]) for r in words.selectExpr(
+        "symbols", "n", "n / ((pmod(xxhash64(symbols), 1048576) + 1) / 1048576D) AS p").collect()]
+    ranked.sort(key=lambda r: (-r[2], r[0]))
+    seen, plain = [], type(words).orderBy
+    monkeypatch.setattr(type(words), "orderBy", lambda self, *by: (seen.append(self.count()), plain(self, *by))[1])
+    for size in (1_000, 19_999, 20_000, 30_000):
+        least = int(ranked[size][2]) if size < len(ranked) else 0
+        seen.clear()
+        assert trials._sample(words, size) == [(s, max(n, least)) for s, n, _ in ranked[:size]]
+        assert max(seen) <= 1.5 * size
