@@ -5,6 +5,7 @@ import gzip
 import hashlib
 import json
 import math
+import os
 import random
 
 import duckdb
@@ -13,8 +14,9 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from quern.llm import (bpe_files, components, imatch, language_id, line_dedup, lm_score, mixing, multi_index, ngram_join, passage_dedup,
+from quern.llm import (bpe_files, common, components, imatch, language_id, line_dedup, lm_score, mixing, multi_index, ngram_join, passage_dedup,
                        perfect_hash, pitman_yor, queries, recompression, warc)
+from quern.plans import stage
 from tools.check import digest
 
 RANKS, PATTERN = queries.RANKS, queries.PATTERN
@@ -127,6 +129,60 @@ def test_classes_by_brute_force(spark, monkeypatch, block):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute_classes(rows)
 
 
+@pytest.mark.parametrize("most", [{"WAVE_CELLS": 400}, {"WAVE_CELLS": 40, "MOST_WAVES": 0}, {"WAVE_BYTES": 4096}])
+def test_waves_and_levels_lose_no_link(spark, monkeypatch, most):
+    """Chained families of many sizes, whose blocks are compared in several waves."""
+    for name, value in (most | {"BLOCK": 8, "FEW": 3, "SHORT_RUN": 4}).items():
+        monkeypatch.setattr(ngram_join, name, value)
+    rng = random.Random(5)
+    rows, common_part = [], vocabulary(30, 12, 900).split()
+    for family in range(6):
+        base = vocabulary(31 + family, 260, 4000).split()
+        for _ in range(40):  # beginnings of one text: neighbours in length link, and all share shingles
+            rows.append((len(rows), " ".join(common_part + base[:rng.randrange(8, 260)])))
+    got = ngram_join.classes(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute_classes(rows)
+
+
+def test_sets_of_pairs_move_once(spark):
+    """Every set of a small class goes to one cell, however many candidate pairs it is in."""
+    pairs = spark.createDataFrame([(a, b) for k in range(0, 300, 10) for a in range(k, k + 10) for b in range(a + 1, k + 10)], "a bigint, b bigint")
+    heads = spark.createDataFrame([(i, i, 1, 5) for i in range(300)], "sid bigint, id bigint, copies bigint, size bigint")
+    none = spark.createDataFrame([], "sid bigint, gid bigint")
+    met = ngram_join._bundles(pairs, none, heads).collect()
+    assert sorted(r.sid for r in met) == list(range(300)) and len({(r.cell, r.tag) for r in met}) == 30
+
+
+def test_links_in_cells():
+    sets = [np.arange(40, dtype=np.uint64) + np.uint64(x) for x in (0, 1, 900, 901, 2, 902, 5000)]
+    tag = np.array([1, 1, 2, 2, 1, 2, 2])
+    for few in (0, 8):
+        ngram_join.FEW, before = few, ngram_join.FEW
+        try:
+            found = {frozenset(map(int, p)) for p in zip(*ngram_join.links_in_cell(2, tag, sets))}
+        finally:
+            ngram_join.FEW = before
+        assert found == {frozenset(p) for p in ((0, 1), (0, 4), (1, 4), (2, 3), (2, 5), (3, 5))}
+    across = ngram_join.links_in_cell(3, np.array([7, 9, 7, 9, 9, 7, 9]), sets)
+    assert {frozenset(map(int, p)) for p in zip(*across)} == {frozenset(p) for p in ((0, 1), (0, 4), (2, 3), (3, 5))}
+
+
+def test_steps_leave_no_tables_or_shuffle_files(spark):
+    def shuffled():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {n for n in (files.apply(i).getName() for i in range(files.size())) if n.startswith("shuffle_")}
+
+    rows = [(i, vocabulary(40 + i // 4, 80, 4000) + f" {i % 4}") for i in range(80)]
+    table = common.kept(spark.createDataFrame(rows, "doc_id bigint, text string"), "rows")
+    before, held = shuffled(), set(os.listdir(stage.shared_dir(spark)))
+    common.kept(table.repartition(4, "doc_id").sortWithinPartitions("text"), "kept")
+    assert shuffled() <= before
+    assert spark.conf.get(common.RELEASE) == "false"
+    assert ngram_join.classes(table).select("component_id").distinct().count() == 20
+    left = {f.rpartition("-")[0] for f in set(os.listdir(stage.shared_dir(spark))) - held}
+    assert not left & {"meetings", "pairs", "sets", "wanted", "groups", "bundles", "blocks", "found"}
+
+
 def test_classes_of_edge_rows(docs, none):
     got = [tuple(r) for r in ngram_join.classes(docs).collect()]
     assert len(got) == docs.count()
