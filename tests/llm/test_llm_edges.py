@@ -211,6 +211,16 @@ def test_one_row_of_each_class_stays(spark):
     assert sorted(i for i, _ in rest) == [4, 5] and all(r in rows for r in rest)
 
 
+def test_representatives_leave_one_table(spark):
+    """A pipeline's later stages need the disk: only the table that the result reads stays."""
+    rows = [(i, vocabulary(60 + i // 3, 70, 4000) + f" {i % 3}") for i in range(45)]
+    table = common.kept(spark.createDataFrame(rows, "doc_id bigint, text string"), "rows")
+    held = set(os.listdir(stage.shared_dir(spark)))
+    left = ngram_join.representatives(table)
+    assert sorted(r.doc_id for r in left.collect()) == list(range(0, 45, 3))
+    assert {f.rpartition("-")[0] for f in set(os.listdir(stage.shared_dir(spark))) - held} == {"copies"}
+
+
 def test_components(spark):
     links = [(i, i + 1) for i in range(0, 60)] + [(100, 200), (200, 150)] + [(500, 500 + i) for i in range(1, 300)] + [(7, 7)]
     got = components.components(spark.createDataFrame(links, "a bigint, b bigint").repartition(9))
